@@ -222,3 +222,7 @@ SELECT COUNT(*) AS rows_input, COUNT(*) AS rows_output,
 FROM cleaned"""))
 def clean_stats(spark, sf_dir):
     return C.clean_stats(R(spark, sf_dir))
+
+
+# Further registrations (imported for their side effect on QUERIES/ORACLES).
+from . import reg_core  # noqa: E402,F401
