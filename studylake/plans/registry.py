@@ -227,3 +227,4 @@ def clean_stats(spark, sf_dir):
 # Further registrations (imported for their side effect on QUERIES/ORACLES).
 from . import reg_core  # noqa: E402,F401
 from . import reg_quality  # noqa: E402,F401
+from . import reg_profile  # noqa: E402,F401
