@@ -37,20 +37,49 @@ def is_year_month(c) -> Column:
     return F.coalesce(_c(c).rlike(YEAR_MONTH_RX), F.lit(False))
 
 
-def parse_date_mixed(c) -> Column:
-    """First format that parses wins; outside the representable range → null."""
+def try_parse_any(c) -> Column:
+    """First format that parses wins (no range rule)."""
     c = _c(c)
-    d = F.coalesce(*[F.try_to_date(c, f) for f in DATE_FORMATS])
-    y = F.year(d)
-    return F.when(y.between(REPRESENTABLE_MIN_YEAR, REPRESENTABLE_MAX_YEAR), d)
+    return F.coalesce(*[F.try_to_date(c, f) for f in DATE_FORMATS])
+
+
+def let(expr: Column, fn) -> Column:
+    """Bind ``expr`` once and use it several times inside ``fn`` (a lambda
+    over a one-element array). Keeps generated code linear when the
+    optimizer inlines a computed column into several places (projection
+    collapsing, filter pushdown)."""
+    return F.transform(F.array(expr), fn)[0]
+
+
+def representable(d) -> Column:
+    """Null out dates a nanosecond-timestamp parser could not hold."""
+    return let(_c(d), lambda x: F.when(
+        F.year(x).between(REPRESENTABLE_MIN_YEAR, REPRESENTABLE_MAX_YEAR), x))
+
+
+def parse_date_mixed(c) -> Column:
+    """First format that parses wins; outside the representable range → null.
+    (Single-expression form; ``with_parsed_date`` stages it as two
+    projections so the parse is not repeated in generated code.)"""
+    return representable(try_parse_any(c))
+
+
+def with_parsed_date(df, src: str, out: str, year_month_filled: bool = False):
+    """Stage: ``out`` = lenient parse of ``src`` (after optional ``YYYY-MM``
+    completion), computed once per row."""
+    tmp = f"__{out}_p0"
+    s = F.col(src)
+    if year_month_filled:
+        s = complete_year_month(s)
+    return df.withColumn(tmp, try_parse_any(s)).withColumn(out, representable(tmp)).drop(tmp)
 
 
 def complete_year_month(c) -> Column:
     """Append ``-01`` to ``YYYY-MM`` values, leave the rest."""
     c = _c(c)
-    return F.when(is_year_month(c), F.concat(c, F.lit("-01"))).otherwise(c)
+    return F.when(c.rlike(YEAR_MONTH_RX), F.concat(c, F.lit("-01"))).otherwise(c)
 
 
 def is_suspicious(d, lo: int = DATE_MIN_YEAR, hi: int = DATE_MAX_YEAR) -> Column:
-    d = _c(d)
-    return d.isNotNull() & ~F.year(d).between(lo, hi)
+    """Parsed but outside the plausible window; false for null."""
+    return let(_c(d), lambda x: x.isNotNull() & ~F.coalesce(F.year(x).between(lo, hi), F.lit(True)))

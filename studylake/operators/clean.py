@@ -32,10 +32,11 @@ def replace_hidden_nulls(df: DataFrame, cols: list[str] | None = None,
 
 
 def trim_and_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """C1 + C2 fused into one projection (strip first, then match)."""
-    cols = set(cols if cols is not None else string_columns(df))
-    return df.select(*[null_hidden(strip_ws(c)).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    """C1 then C2 as two stacked projections: the stripped value is computed
+    once per cell and then referenced twice (match + value), instead of
+    repeating the regex inside one expression."""
+    cols = list(cols if cols is not None else string_columns(df))
+    return replace_hidden_nulls(trim_all(df, cols), cols)
 
 
 def hidden_null_counts(raw: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -58,10 +59,11 @@ def clean_dates(df: DataFrame, col: str = "start_date") -> DataFrame:
     ``start_date_is_approx``, ``start_date_parsed`` (before the plausibility
     rule) and replaces ``col`` with the final date."""
     raw = F.col(col)
-    parsed = D.parse_date_mixed(D.complete_year_month(raw))
     out = (df.withColumn("start_date_raw", raw)
              .withColumn("start_date_is_approx", D.is_year_month(raw))
-             .withColumn("start_date_parsed", parsed))
+             .withColumn("__to_parse", F.when(F.col("start_date_is_approx"),
+                                              F.concat(raw, F.lit("-01"))).otherwise(raw)))
+    out = D.with_parsed_date(out, "__to_parse", "start_date_parsed").drop("__to_parse")
     final = F.when(~D.is_suspicious(F.col("start_date_parsed")), F.col("start_date_parsed"))
     return out.withColumn(col, final)
 

@@ -183,16 +183,16 @@ def date_other_samples(df: DataFrame, col: str = "start_date", order_col: str =
             .select(order_col, col).orderBy(order_col).limit(k))
 
 
-def _eda_parse(c: Column) -> Column:
-    # Lenient parse of the raw value: whitespace tolerated, YYYY-MM read as the 1st.
-    s = strip_ws(c)
-    return D.parse_date_mixed(D.complete_year_month(s))
+def _eda_parsed(df: DataFrame, col: str) -> DataFrame:
+    """(raw, d): lenient parse of the raw value — whitespace tolerated,
+    ``YYYY-MM`` read as the 1st — staged so each step runs once per row."""
+    s = df.select(F.col(col).alias("raw"), strip_ws(col).alias("__s"))
+    return D.with_parsed_date(s, "__s", "d", year_month_filled=True).drop("__s")
 
 
 def date_range(df: DataFrame, now: str, col: str = "start_date") -> DataFrame:
     """Parse failures, earliest, latest, before-1990, after ``now``."""
-    p = _eda_parse(F.col(col))
-    return df.select(F.col(col).alias("raw"), p.alias("d")).agg(
+    return _eda_parsed(df, col).agg(
         F.count_if(F.col("raw").isNotNull() & F.col("d").isNull()).alias("parse_failures"),
         F.min("d").alias("earliest"), F.max("d").alias("latest"),
         F.count_if(F.year("d") < 1990).alias("before_1990"),
@@ -201,8 +201,8 @@ def date_range(df: DataFrame, now: str, col: str = "start_date") -> DataFrame:
 
 def top_years(df: DataFrame, col: str = "start_date", k: int = 10) -> DataFrame:
     """Most frequent start years."""
-    y = F.year(_eda_parse(F.col(col))).cast("bigint")
-    g = df.select(y.alias("year")).filter(F.col("year").isNotNull()).groupBy("year").agg(
+    y = F.year("d").cast("bigint")
+    g = _eda_parsed(df, col).select(y.alias("year")).filter(F.col("year").isNotNull()).groupBy("year").agg(
         F.count(F.lit(1)).alias("n"))
     return g.orderBy(F.desc("n"), "year").limit(k)
 
