@@ -97,9 +97,13 @@ def clean_raw(raw: DataFrame, cols: list[str] | None = None) -> DataFrame:
     if cols is None:
         cols = string_columns(raw, exclude=tuple(EXTRA_COLUMNS))
     out = trim_and_null(raw, cols)
-    out = clean_dates(out)
-    out = clean_phase(out)
-    return default_study_type(out)
+    if "start_date" in out.columns:
+        out = clean_dates(out)
+    if "phases" in out.columns:
+        out = clean_phase(out)
+    if "study_type" in out.columns:
+        out = default_study_type(out)
+    return out
 
 
 def build_studies(cleaned: DataFrame) -> DataFrame:

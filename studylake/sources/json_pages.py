@@ -28,8 +28,10 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bad_records(pages: DataFrame) -> DataFrame:
-    """Documents that could not be parsed, with their source file."""
-    return (pages.filter(F.col("_corrupt_record").isNotNull())
+    """Documents that could not be parsed, with their source file. (A
+    corrupt document has no parsed fields, so ``studies IS NULL`` holds too;
+    referencing it keeps a parsed column in every pruned plan, e.g. count.)"""
+    return (pages.filter(F.col("_corrupt_record").isNotNull() & F.col("studies").isNull())
             .select(F.input_file_name().alias("file"), "totalCount", "_corrupt_record"))
 
 
