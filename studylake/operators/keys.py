@@ -37,23 +37,37 @@ def pin_sorted(df: DataFrame, order_cols: list[str], num_partitions: int | None
     return laid.checkpoint(eager=True)
 
 
+def partition_sums(df: DataFrame, exprs: dict[str, Column]) -> dict[str, dict[int, int]]:
+    """Per-partition sums of several row expressions in one pass (one row per
+    partition reaches the driver). Used to size rows that a narrow generator
+    (explode) would produce, without running the generator."""
+    rows = (df.groupBy(F.spark_partition_id().alias("__pid"))
+            .agg(*[F.sum(F.coalesce(e, F.lit(0))).alias(n) for n, e in exprs.items()])
+            .collect())
+    return {n: {int(r["__pid"]): int(r[n] or 0) for r in rows} for n in exprs}
+
+
 def dense_key(df: DataFrame, order_cols: list[str] | None, out: str = "id",
-              pinned: bool = False, num_partitions: int | None = None) -> Keyed:
+              pinned: bool = False, num_partitions: int | None = None,
+              counts: dict[int, int] | None = None) -> Keyed:
     """K3: dense 1..N key following ``order_cols`` (which must be unique for a
     deterministic result). ``pinned=True`` means ``df`` is already a narrow
     derivation of a pinned, sorted frame (e.g. exploded from it) whose row
-    order is the wanted order, so no new shuffle is needed."""
+    order is the wanted order, so no new shuffle is needed. ``counts``
+    (rows per partition, e.g. from ``partition_sums``) skips the count job."""
     if not pinned:
         df = pin_sorted(df, order_cols or [], num_partitions)
     spark = df.sparkSession
     tagged = df.withColumn("__mid", F.monotonically_increasing_id())
     pid = F.shiftright(F.col("__mid"), _PID_SHIFT)
-    counts = (tagged.select(pid.alias("__pid")).groupBy("__pid").count()
-              .orderBy("__pid").collect())  # one row per partition
+    if counts is None:
+        rows = (tagged.select(pid.alias("__pid")).groupBy("__pid").count()
+                .collect())  # one row per partition
+        counts = {int(r["__pid"]): int(r["count"]) for r in rows}
     offsets, run = [], 0
-    for r in counts:
-        offsets.append((int(r["__pid"]), run))
-        run += int(r["count"])
+    for p in sorted(counts):
+        offsets.append((p, run))
+        run += counts[p]
     off_df = spark.createDataFrame(offsets or [(0, 0)], T.StructType([
         T.StructField("__pid", T.LongType(), False),
         T.StructField("__off", T.LongType(), False)]))
@@ -82,11 +96,13 @@ def broadcast_if_small(df: DataFrame, rows: int, max_rows: int = 2_000_000) -> D
     return F.broadcast(df) if rows <= max_rows else df
 
 
-def resolve_org_id(studies: DataFrame, orgs: DataFrame, org_rows: int | None = None) -> DataFrame:
-    """K4: name → id, unknown name → null id (left lookup)."""
+def resolve_org_id(studies: DataFrame, orgs: DataFrame, org_rows: int | None = None,
+                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """K4: name → id, unknown name → null id (left lookup). ``org_rows`` is
+    the dimension's exact row count (known from its key job)."""
     dim = orgs.select("org_name", "org_id")
     if org_rows is not None:
-        dim = broadcast_if_small(dim, org_rows)
+        dim = broadcast_if_small(dim, org_rows, max_broadcast_rows)
     return studies.join(dim, "org_name", "left")
 
 

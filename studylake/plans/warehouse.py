@@ -14,6 +14,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import keys as K
@@ -40,8 +41,9 @@ class Warehouse:
     # -- dimension -------------------------------------------------------
     @cached_property
     def organizations_all(self) -> DataFrame:
-        """N7 output, null name included."""
-        return N.extract_orgs(self.cleaned)
+        """N7 output, null name included. Read from the pinned fact (already
+        cleaned and checkpointed), so the source is not cleaned twice."""
+        return N.extract_orgs(self._keyed_rows.df)
 
     @cached_property
     def _orgs_keyed(self) -> K.Keyed:
@@ -60,17 +62,26 @@ class Warehouse:
     @cached_property
     def studies(self) -> DataFrame:
         fact = C.build_studies(self._keyed_rows.df)
-        with_org = K.resolve_org_id(fact, self.organizations, self._orgs_keyed.rows)
+        with_org = K.resolve_org_id(fact, self.organizations, self._orgs_keyed.rows,
+                                    self.org_broadcast_rows)
         cols = ["study_id", "org_id"] + [c for c in fact.columns if c != "study_id"]
         return with_org.select(*cols)
 
     # -- bridges -----------------------------------------------------------
+    @cached_property
+    def _bridge_counts(self) -> dict[str, dict[int, int]]:
+        """Bridge rows per partition of the pinned fact, for all four bridges
+        in one pass: the size of each token array, no explode."""
+        return K.partition_sums(self._keyed_rows.df, {
+            name: F.size(N.tokens(BRIDGE_SOURCE[name], BRIDGES[name][2])) for name in BRIDGES})
+
     def bridge(self, name: str) -> DataFrame:
         table, value_col, sep = BRIDGES[name]
         src = BRIDGE_SOURCE[name]
         exploded = N.split_multi_value(self._keyed_rows.df, src, sep, value_col,
                                        keys=("study_id", "source_row_index"))
-        keyed = K.dense_key(exploded, None, "id", pinned=True).df
+        keyed = K.dense_key(exploded, None, "id", pinned=True,
+                            counts=self._bridge_counts[name]).df
         return keyed.select("id", "study_id", value_col, "source_row_index", "pos")
 
     @cached_property
