@@ -7,9 +7,11 @@ per task instead of one giant sort group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keys import dense_key
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Row with the greatest ``order`` tuple per key (ties impossible when
@@ -31,11 +33,19 @@ def upsert_latest(base: DataFrame, updates: DataFrame, keys: list[str], order: l
 
 
 def run_log_trend(run_log: DataFrame) -> DataFrame:
-    """Change in processed rows against the previous run of the same step.
-    The window partitions by step name; a run log holds one row per step per
-    run, so each partition stays small."""
-    w = Window.partitionBy("step_name").orderBy("completed_at", "log_id")
-    prev = F.lag("rows_processed").over(w)
-    return run_log.select("log_id", "step_name", "completed_at", "rows_processed",
-                          prev.alias("prev_rows"),
-                          (F.col("rows_processed") - prev).alias("rows_delta"))
+    """Change in processed rows against the previous entry of the same
+    step (ordered by completion time, then log id).
+
+    No ``Window.partitionBy(step)``: a step holding a third of all rows would
+    be sorted in one task. Instead every row gets a dense rank in
+    (step, completed_at, log_id) order (range-partitioned, so even a hot step
+    spreads over many partitions), and the predecessor is the row with rank
+    - 1 when it belongs to the same step — an equi-join on a unique key."""
+    order = ["step_name", "completed_at", "log_id"]
+    ranked = dense_key(run_log.select("log_id", "step_name", "completed_at", "rows_processed"),
+                       order, "__rk").df
+    prev = ranked.select("step_name", (F.col("__rk") + 1).alias("__rk"),
+                         F.col("rows_processed").alias("prev_rows"))
+    out = ranked.join(prev, ["step_name", "__rk"], "left")
+    return out.select("log_id", "step_name", "completed_at", "rows_processed", "prev_rows",
+                      (F.col("rows_processed") - F.col("prev_rows")).alias("rows_delta"))
