@@ -185,3 +185,37 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_run_log_trend_matches_window(spark):
+    """E6 without a per-step window equals the windowed lag (brute force)."""
+    from pyspark.sql import Window
+    from studylake.plans.registry import run_log_from_events
+    log = run_log_from_events(spark, SF)
+    got = sorted(tuple(r) for r in U.run_log_trend(log).collect())
+    w = Window.partitionBy("step_name").orderBy("completed_at", "log_id")
+    prev = F.lag("rows_processed").over(w)
+    want = sorted(tuple(r) for r in log.select(
+        "log_id", "step_name", "completed_at", "rows_processed", prev.alias("prev_rows"),
+        (F.col("rows_processed") - prev).alias("rows_delta")).collect())
+    assert got == want
+
+
+def test_upsert_refreshes_updated_at(spark):
+    base = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, v int, s string")
+    upd = spark.createDataFrame([(1, 2, "c")], "k int, v int, s string")
+    out = {r.k: (r.v, r.s, r.updated_at is not None) for r in
+           U.upsert_latest(base, upd, ["k"], ["v"], refresh_col="updated_at").collect()}
+    assert out == {1: (2, "c", True), 2: (1, "b", True)}
+
+
+def test_backfill_end_to_end(spark):
+    from studylake.plans.pipeline import run_backfill
+    res = run_backfill(spark, fixtures.raw_studies(spark, SF), fixtures.raw_locations(spark, SF),
+                       run_id="t")
+    assert res.ok and "Result: PASSED" in res.report
+    assert res.stats["rows_output"] == fixtures.table(spark, SF, "orders").count()
+    t = L.read_warehouse(spark, res.paths)
+    assert t["study_conditions"].join(t["studies"], "study_id", "left_anti").count() == 0
+    steps = [r.step_name for r in res.log.collect()]
+    assert steps[0] == "clean" and steps[-1] == "publish"
