@@ -27,13 +27,21 @@ class Keyed:
     rows: int
 
 
-def pin_sorted(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
+def pin_sorted(df: DataFrame, order_cols: list[str], num_partitions: int | None = None,
+               then=None) -> DataFrame:
     """Range-partition on the order, sort inside partitions and checkpoint, so
-    later passes (and task retries) see the same rows in the same places."""
+    later passes (and task retries) see the same rows in the same places.
+
+    ``then`` is an optional narrow transformation applied after the sort and
+    before the checkpoint (e.g. cleaning). It keeps the row order, and it runs
+    once, inside the checkpoint job: the range partitioner's sampling pass
+    only sees ``df``."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    if then is not None:
+        laid = then(laid)
     return laid.checkpoint(eager=True)
 
 

@@ -2,8 +2,8 @@
 with dense surrogate keys.
 
 Plan shape (one range shuffle for the fact, none for the bridges):
-  raw ─ clean (projection) ─ pin by source_row_index (range shuffle + sort +
-  checkpoint) ─ study_id ─┬─ studies ⋈ organizations (broadcast behind a
+  raw ─ pin by source_row_index (range shuffle + sort) ─ clean (projection)
+  ─ checkpoint ─ study_id ─┬─ studies ⋈ organizations (broadcast behind a
                           │  proven row bound, else shuffled)
                           └─ explode bridges (narrow; ids reuse the pinned order)
   organizations: hash aggregate (partial agg map-side) → pinned → org_id
@@ -28,15 +28,28 @@ class Warehouse:
     tables trigger their (bounded) key jobs when first touched."""
 
     def __init__(self, cleaned: DataFrame, locations: DataFrame | None = None,
-                 org_broadcast_rows: int = 2_000_000):
+                 org_broadcast_rows: int = 2_000_000, pinned: bool = False):
+        """``cleaned``: cleaned study rows. ``pinned=True``: they are already
+        range-partitioned and sorted by ``source_row_index`` and
+        checkpointed (see ``from_raw``)."""
         self.cleaned = cleaned
+        self._pinned = pinned
         self._locations_src = locations
         self.org_broadcast_rows = org_broadcast_rows
 
+    @classmethod
+    def from_raw(cls, raw: DataFrame, locations: DataFrame | None = None,
+                 clean=C.clean_raw, **kw) -> Warehouse:
+        """Pin the raw rows by ``source_row_index`` (which cleaning never
+        changes) and clean after the shuffle, inside the checkpoint job, so
+        the range sampling pass reads raw rows only and cleaning runs once."""
+        pinned = K.pin_sorted(raw, ["source_row_index"], then=clean)
+        return cls(pinned, locations, pinned=True, **kw)
+
     @classmethod
     def from_sf(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        raw = fixtures.raw_studies(spark, sf_dir)
-        return cls(C.clean_raw(raw), fixtures.raw_locations(spark, sf_dir))
+        return cls.from_raw(fixtures.raw_studies(spark, sf_dir),
+                            fixtures.raw_locations(spark, sf_dir))
 
     # -- dimension -------------------------------------------------------
     @cached_property
@@ -57,6 +70,8 @@ class Warehouse:
     @cached_property
     def _keyed_rows(self) -> K.Keyed:
         """Cleaned rows with study_id, pinned in source_row_index order."""
+        if self._pinned:
+            return K.dense_key(self.cleaned, None, "study_id", pinned=True)
         return K.study_keys(self.cleaned)
 
     @cached_property
