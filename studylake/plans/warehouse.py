@@ -71,9 +71,20 @@ class Warehouse:
     def _keyed_rows(self) -> K.Keyed:
         """Cleaned rows with study_id, pinned in source_row_index order."""
         if self._pinned:
-            return K.dense_key(self.cleaned, None, "study_id", pinned=True)
+            return K.dense_key(self.cleaned, None, "study_id", pinned=True,
+                               counts=self._pin_counts["__rows"])
         return K.study_keys(self.cleaned)
 
+    @cached_property
+    def _pin_counts(self) -> dict[str, dict[int, int]]:
+        """One pass over the pinned rows: rows per partition (study keys) and
+        bridge rows per partition for all four bridges (token-array sizes, no
+        explode)."""
+        exprs = {"__rows": F.lit(1)}
+        exprs.update({name: F.size(N.tokens(BRIDGE_SOURCE[name], BRIDGES[name][2]))
+                      for name in BRIDGES})
+        return K.partition_sums(self.cleaned, exprs)
+
     @cached_property
     def studies(self) -> DataFrame:
         fact = C.build_studies(self._keyed_rows.df)
@@ -87,6 +98,8 @@ class Warehouse:
     def _bridge_counts(self) -> dict[str, dict[int, int]]:
         """Bridge rows per partition of the pinned fact, for all four bridges
         in one pass: the size of each token array, no explode."""
+        if self._pinned:
+            return self._pin_counts
         return K.partition_sums(self._keyed_rows.df, {
             name: F.size(N.tokens(BRIDGE_SOURCE[name], BRIDGES[name][2])) for name in BRIDGES})
 
