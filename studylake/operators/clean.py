@@ -96,7 +96,23 @@ def clean_raw(raw: DataFrame, cols: list[str] | None = None) -> DataFrame:
     but the provenance/id extras)."""
     if cols is None:
         cols = string_columns(raw, exclude=tuple(EXTRA_COLUMNS))
-    out = trim_and_null(raw, cols)
+    return clean_stripped(trim_all(raw, cols), cols)
+
+
+def clean_raw_counted(raw: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """``clean_raw`` plus ``__hidden``: the per-row number of disguised-null
+    literals. Both come from the same stripped values, so each cell's strip
+    regex runs once."""
+    if cols is None:
+        cols = string_columns(raw, exclude=tuple(EXTRA_COLUMNS))
+    stripped = trim_all(raw, cols)
+    n = sum((is_hidden_null(c).cast("int") for c in cols), F.lit(0))
+    return clean_stripped(stripped.withColumn("__hidden", n), cols)
+
+
+def clean_stripped(df: DataFrame, cols: list[str]) -> DataFrame:
+    """C2, C4–C7, C9, C10 on already stripped values."""
+    out = replace_hidden_nulls(df, cols)
     if "start_date" in out.columns:
         out = clean_dates(out)
     if "phases" in out.columns:
@@ -117,15 +133,11 @@ def build_studies(cleaned: DataFrame) -> DataFrame:
 
 
 def clean_stats(raw: DataFrame) -> DataFrame:
-    """Run statistics in one aggregate over one scan. The raw string
-    columns ride along next to the cleaned ones, so the hidden-null count and
-    the date statistics come from the same pass (cleaning is a projection,
-    so rows in = rows out)."""
-    cols = string_columns(raw, exclude=tuple(EXTRA_COLUMNS))
-    renamed = raw.select(*raw.columns, *[F.col(c).alias(f"__raw_{c}") for c in cols])
-    cleaned = clean_raw(renamed, cols)
-    hidden = sum((F.count_if(is_hidden_null(strip_ws(f"__raw_{c}"))).cast("bigint")
-                  for c in cols), F.lit(0).cast("bigint"))
+    """Run statistics in one aggregate over one scan: the per-row
+    hidden-null count is taken from the same stripped values the cleaning
+    uses (cleaning is a projection, so rows in = rows out)."""
+    cleaned = clean_raw_counted(raw)
+    hidden = F.coalesce(F.sum("__hidden"), F.lit(0)).cast("bigint")
     p = F.col("start_date_parsed")
     return cleaned.agg(
         F.count(F.lit(1)).alias("rows_input"),
