@@ -4,15 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studylake.llm import quality_rules
+from studylake.llm import mixing, packing, quality_rules, sharding
 from studylake.llm.common import read_table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
+def op4_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_histogram_sort": op3_histogram_sort,
+    "op4_subset_sum_mix": op4_subset_sum_mix,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}
