@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studylake.llm import mixing, packing, quality_rules, sharding
+from studylake.llm import licenses, mixing, packing, quality_rules, secrets, sharding
 from studylake.llm.common import read_table
 
 
@@ -20,6 +20,14 @@ def op4_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op5_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op8_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +36,8 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_histogram_sort": op3_histogram_sort,
     "op4_subset_sum_mix": op4_subset_sum_mix,
+    "op5_rare_token_licenses": op5_rare_token_licenses,
+    "op8_randomness_secrets": op8_randomness_secrets,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}
