@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studylake.llm import licenses, mixing, packing, quality_rules, secrets, sharding
+from studylake.llm import byte_cnn, licenses, mixing, packing, quality_rules, secrets, sharding
 from studylake.llm.common import read_table
 
 
@@ -24,6 +24,10 @@ def op5_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op7_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read_table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES = {
     "op3_histogram_sort": op3_histogram_sort,
     "op4_subset_sum_mix": op4_subset_sum_mix,
     "op5_rare_token_licenses": op5_rare_token_licenses,
+    "op7_byte_cnn_quality": op7_byte_cnn_quality,
     "op8_randomness_secrets": op8_randomness_secrets,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -104,35 +104,40 @@ def _let(value: Column, use) -> Column:
 
 
 def _tested(span: Column) -> Column:
-    """The span with -log10 p of the evenness test and whether randomness holds."""
-    t, n = span["text"], F.length(span["text"]).cast("double")
+    """The span with the cell of -log10 p, 0 where randomness does not hold, and its length class."""
+    t = span["text"]
     which = F.lit(len(ENCODINGS) - 1)
     for i, (_, pattern, _, _) in reversed(list(enumerate(ENCODINGS[:-1]))):
         which = F.when(t.rlike(f"^{pattern}$"), F.lit(i)).otherwise(which)
-    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), which + 1)
-    symbols = pick([s for _, _, s, _ in ENCODINGS])
-    k, skew = pick([float(len(s)) for _, _, s, _ in ENCODINGS]), pick([d for *_, d in ENCODINGS])
-    text = F.when(which == 0, F.lower(t)).otherwise(t)
-    digits = n - F.length(F.regexp_replace(t, "[0-9]", ""))
-
-    def symbols_seen(chars: Column) -> Column:
-        squares = F.aggregate(F.array_distinct(chars), F.lit(0.0),
-                              lambda a, c: a + F.pow(n - F.length(F.replace(text, c, F.lit(""))), F.lit(2)))
-        chi = squares * k / n - n
-        # of word-like symbols: non-central, mean k - 1 + n d, variance 2 (k - 1 + 2 n d)
-        even = (chi - (k - 1 + n * skew)) / F.sqrt(2 * (k - 1 + 2 * n * skew))
-        holds = _let(F.transform(chars, lambda c: F.instr(symbols, c).cast("double")), sequence_holds)
-        # a run of one kind of symbol (all digits, all letters) is an ordinary number or word
-        plausible = t.rlike("[0-9]") & t.rlike("[A-Za-z]") & (digits >= F.floor(n / 16)) & (F.size(F.array_distinct(chars)) >= 6)
-        return F.when(plausible & holds, _tail(even)).otherwise(F.lit(0.0))
-
-    def sequence_holds(value: Column) -> Column:
-        return _let(F.aggregate(value, F.lit(0.0), lambda a, v: a + v) / n, lambda mean: _steady(value, mean, n))
-
-    p = _let(F.split(text, ""), symbols_seen)
+    known = F.array(*[F.struct(F.lit(s).alias("symbols"), F.lit(float(len(s))).alias("k"), F.lit(d).alias("skew"), F.lit(i == 0).alias("fold"))
+                      for i, (_, _, s, d) in enumerate(ENCODINGS)])
+    digits = F.length(t) - F.length(F.regexp_replace(t, "[0-9]", ""))
+    # a run of one kind of symbol (all digits, all letters) is an ordinary number or word
+    mixed = t.rlike("[0-9]") & t.rlike("[A-Za-z]") & (digits >= F.floor(F.length(t) / 16))
+    # every value that an inner function uses is bound first, so that it is computed once
+    facts = _let(F.get(known, which), lambda e: F.struct(
+        F.when(e["fold"], F.lower(t)).otherwise(t).alias("text"), F.length(t).cast("double").alias("n"), e.alias("e")))
+
+    def evenness(b: Column) -> Column:
+        n, e = b["n"], b["e"]
+        k = e["k"]
+
+        def of(chars: Column) -> Column:
+            squares = F.aggregate(F.array_distinct(chars), F.lit(0.0),
+                                  lambda a, c: a + F.pow(n - F.length(F.replace(b["text"], c, F.lit(""))), F.lit(2)))
+            chi = squares * k / n - n
+            # of word-like symbols: non-central, mean k - 1 + n d, variance 2 (k - 1 + 2 n d)
+            even = (chi - (k - 1 + n * e["skew"])) / F.sqrt(2 * (k - 1 + 2 * n * e["skew"]))
+            holds = _let(F.transform(chars, lambda c: F.instr(e["symbols"], c).cast("double")), lambda value: _let(
+                F.aggregate(value, F.lit(0.0), lambda a, v: a + v) / n, lambda mean: _steady(value, mean, n)))
+            return F.when((F.size(F.array_distinct(chars)) >= 6) & holds, _let(even, _tail)).otherwise(F.lit(0.0))
+
+        return _let(F.split(b["text"], ""), of)
+
+    p = F.when(mixed, _let(facts, evenness)).otherwise(F.lit(0.0))
     return F.struct(span["start"].alias("start"), span["stop"].alias("stop"),
                     F.least(F.floor(p / STEP), F.lit(CELLS - 1)).cast("int").alias("cell"),
-                    F.least(F.floor(F.log2(n / MIN_RUN)), F.lit(5)).cast("int").alias("class"))
+                    F.least(F.floor(F.log2(F.length(t) / MIN_RUN)), F.lit(5)).cast("int").alias("class"))
 
 
 def _steady(value: Column, mean: Column, n: Column) -> Column:
@@ -226,7 +231,7 @@ def clean(docs: DataFrame) -> DataFrame:
         return F.when(s["start"] >= acc["at"], F.struct(s["stop"].alias("at"), new.alias("out"))).otherwise(
             F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out")))
 
-    masked = F.aggregate(order, zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    masked = F.aggregate(base, zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
     found = rows.withColumn(base, order)
     out = found.withColumn("text", F.when(F.size(base) > 0, masked).otherwise(text))
     if dict(docs.dtypes).get("n_chars") in ("int", "bigint"):
