@@ -146,7 +146,7 @@ def gradients(p: Params, x: np.ndarray, y: np.ndarray) -> tuple[float, Params]:
     return loss, g
 
 
-def train(x: np.ndarray, y: np.ndarray, n_labels: int, epochs: int, batch: int = 64, rate: float = 0.02, seed: int = 5) -> Params:
+def train(x: np.ndarray, y: np.ndarray, n_labels: int, epochs: int, batch: int = 32, rate: float = 0.03, seed: int = 5) -> Params:
     """Fit by Adam; the same windows give the same parameters."""
     p = init(n_labels, seed)
     rng = np.random.default_rng(seed)
@@ -164,5 +164,5 @@ def train(x: np.ndarray, y: np.ndarray, n_labels: int, epochs: int, batch: int =
                 v = v * min(1.0, 5.0 / (norm + 1e-9))
                 m[k] = 0.9 * m[k] + 0.1 * v
                 s[k] = 0.999 * s[k] + 0.001 * v * v
-                p[k] = p[k] - rate * 0.7**epoch * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
+                p[k] = p[k] - rate * 0.85**epoch * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
     return p

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studylake.llm import byte_cnn, licenses, mixing, packing, quality_rules, secrets, sharding
+from studylake.llm import byte_cnn, licenses, mixing, packing, pii, quality_rules, secrets, sharding
 from studylake.llm.common import read_table
 
 
@@ -36,6 +36,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op10_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_histogram_sort": op3_histogram_sort,
@@ -44,5 +48,6 @@ QUERIES = {
     "op7_byte_cnn_quality": op7_byte_cnn_quality,
     "op8_randomness_secrets": op8_randomness_secrets,
     "op9_quality_rules": op9_quality_rules,
+    "op10_bilstm_crf_pii": op10_bilstm_crf_pii,
 }
 ORACLES: dict[str, str] = {}
