@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studylake.llm import byte_cnn, licenses, mixing, packing, pii, quality_rules, secrets, sharding
+from studylake.llm import byte_cnn, licenses, minhash, mixing, packing, pii, quality_rules, secrets, sharding
 from studylake.llm.common import read_table
 
 
@@ -24,6 +24,11 @@ def op5_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op6_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the contract of this query fixes shingles of four words
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op7_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op3_histogram_sort": op3_histogram_sort,
     "op4_subset_sum_mix": op4_subset_sum_mix,
     "op5_rare_token_licenses": op5_rare_token_licenses,
+    "op6_tensored_minhash": op6_tensored_minhash,
     "op7_byte_cnn_quality": op7_byte_cnn_quality,
     "op8_randomness_secrets": op8_randomness_secrets,
     "op9_quality_rules": op9_quality_rules,
