@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studylake.llm import byte_cnn, licenses, minhash, mixing, packing, pii, quality_rules, secrets, sharding
+from studylake.llm import byte_cnn, lattice, licenses, minhash, mixing, packing, pii, quality_rules, secrets, sharding
 from studylake.llm.common import read_table
 
 
+def op1_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_e8_lattice": op1_e8_lattice,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_histogram_sort": op3_histogram_sort,
     "op4_subset_sum_mix": op4_subset_sum_mix,
