@@ -10,17 +10,17 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Bound of each worker's tables, in entries.
-MAX_ENTRIES = 150_000
+MAX_ENTRIES = 250_000
 
 #: Letters whose lower case is one letter and that no normal form changes,
 #: then ASCII marks without the apostrophe (which starts pre-tokens of its own).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*$%&#|)]*)")
-_SPACES = str.maketrans("\t\n\r", "   ")
 
 
 def default_path() -> str:
@@ -36,12 +36,24 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are one pre-token each: encoded together, cut after each word's last token."""
+        if not words:
+            return []
+        ids = self._ids(" ".join(words))
+        cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. New chunks of a group of texts are encoded together."""
@@ -56,39 +68,38 @@ class Encoder:
             at = end
         return out
 
+    def _new(self, chunks: set[str]) -> dict[str, bytes]:
+        plain, out, words = [], {}, self.words
+        wanted: dict[str, None] = {}
+        for c in chunks:
+            m = _PLAIN.fullmatch(c)
+            if m:
+                word, marks = m[1].lower(), m[2]
+                plain.append((c, word, marks))
+                if word not in words:
+                    wanted[word] = None
+                if marks not in words:
+                    wanted[marks] = None
+            else:
+                out[c] = self._ids(c).tobytes()
+        found = dict(zip(wanted, self._words(list(wanted)), strict=True))
+        for c, word, marks in plain:
+            out[c] = (found.get(word) or words[word]) + (words[marks] if marks in words else found[marks])
+        words.update(islice(found.items(), max(0, MAX_ENTRIES - len(words))))
+        self.chunks.update(islice(out.items(), max(0, MAX_ENTRIES - len(self.chunks))))
+        return out
+
     def _group(self, texts: list[str]) -> list[bytes]:
-        split = [t.translate(_SPACES).split(" ") for t in texts]
-        new = {c for parts in split for c in parts if c not in self.chunks}
-        more: dict[str, bytes] = {}
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        got = [list(map(self.chunks.get, parts)) for parts in split]
+        gaps = [[k for k, x in enumerate(ids) if x is None] if None in ids else [] for ids in got]
+        new = {parts[k] for parts, own in zip(split, gaps, strict=True) for k in own}
         if new:
-            plain, odd, wanted = [], [], set()
-            for c in new:
-                m = _PLAIN.fullmatch(c)
-                if m:
-                    word, marks = m[1].lower(), m[2]
-                    plain.append((c, word, marks))
-                    wanted.update(x for x in (word, marks) if x not in self.words)
-                else:
-                    odd.append(c)
-            wanted_list = list(wanted)
-            ids = self._encode(wanted_list + odd)
-            words = dict(zip(wanted_list, ids, strict=False))
-            more = dict(zip(odd, ids[len(wanted_list):], strict=True))
-            known = self.words
-            for c, word, marks in plain:
-                more[c] = (words[word] if word in words else known[word]) + (words[marks] if marks in words else known[marks])
-            room = MAX_ENTRIES - len(known)
-            if room > 0:
-                known.update(list(words.items())[:room])
-            room = MAX_ENTRIES - len(self.chunks)
-            if room > 0:
-                kept = dict(list(more.items())[:room])
-                self.chunks.update(kept)
-        table = self.chunks
-        if all(c in table for c in more):
-            return [b"".join([table[c] for c in parts]) for parts in split]
-        both = {**more}
-        return [b"".join([table[c] if c in table else both[c] for c in parts]) for parts in split]
+            more = self._new(new)
+            for parts, ids, own in zip(split, got, gaps, strict=True):
+                for k in own:
+                    ids[k] = more[parts[k]]
+        return [b"".join(ids) for ids in got]
 
 
 @lru_cache(maxsize=2)
