@@ -91,7 +91,7 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tup
         k = min(max(bisect_right(below, goal) - 1, 0), len(cells) - 1)
         if below[k + 1] - goal < goal - below[k]:
             k += 1
-        first = cells[k][0] if k < len(cells) else 1 << KEY_BITS
+        first = cells[k][0] if k < len(cells) else (1 << KEY_BITS) - 1
         shard = i // per_shard
         cuts.append(first)
         cut_rows.append(rows_below[k])
