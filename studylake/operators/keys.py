@@ -1,24 +1,30 @@
 """Surrogate keys and key resolution.
 
 ``dense_key`` assigns 1..N in a given order without a global window (which
-would pull every row into one task): the input is range-partitioned and
-sorted within partitions, pinned by a reliable checkpoint in the shared
-checkpoint folder, then each row gets ``offset(partition) + position``. The
-per-partition counts (one row per partition, so bounded by the partition
-count, not by the data) are the only thing that reaches the driver.
+would pull every row into one task). The input is range-partitioned, sorted
+within partitions and written once as Parquet in the shared folder, each row
+with its partition number and its position there. An id is then the count of
+rows in lower partitions plus the position: it survives any re-read, and every
+later pass reads only the columns it uses. One count per partition is all that
+reaches the driver.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import staging_path
 
 _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row position
+PART, POS = "__part", "__pos"
+PARTITION_BYTES = 128 << 20
+MAX_PARTITIONS = 100_000
+#: Parents whose children one task numbers.
+PARENTS_PER_GROUP = 65_536
 
 
 @dataclass
@@ -27,64 +33,74 @@ class Keyed:
     rows: int
 
 
+def partitions_for(df: DataFrame) -> int:
+    """Partitions by the bytes of the inputs, one per core at least."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(cores, min(MAX_PARTITIONS, math.ceil(size / PARTITION_BYTES)))
+
+
 def pin_sorted(df: DataFrame, order_cols: list[str], num_partitions: int | None = None,
                then=None) -> DataFrame:
-    """Range-partition on the order, sort inside partitions and checkpoint, so
-    later passes (and task retries) see the same rows in the same places.
-
-    ``then`` is an optional narrow transformation applied after the sort and
-    before the checkpoint (e.g. cleaning). It keeps the row order, and it runs
-    once, inside the checkpoint job: the range partitioner's sampling pass
-    only sees ``df``."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Range-partition on the order, sort inside partitions and write the rows
+    as Parquet with their partition and position.
+
+    ``then`` is an optional narrow transformation applied after the sort (e.g.
+    cleaning). It keeps the row order and runs once, inside the write: the
+    range partitioner's sampling pass only sees ``df``."""
+    n = num_partitions or partitions_for(df)
     laid = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     if then is not None:
         laid = then(laid)
-    return laid.checkpoint(eager=True)
-
+    mid = F.monotonically_increasing_id()
+    laid = laid.withColumn("__mid", mid).withColumns({
+        PART: F.shiftright("__mid", _PID_SHIFT).cast("int"),
+        POS: F.col("__mid").bitwiseAND(F.lit((1 << _PID_SHIFT) - 1))}).drop("__mid")
+    path = staging_path(df.sparkSession, "pinned")
+    laid.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(laid.schema).parquet(path)
+
+
+def _offsets(df: DataFrame, counts: DataFrame, group: str) -> tuple[DataFrame, int]:
+    """(group, __off): rows of lower groups, from one counted row per group."""
+    total, rows = 0, []
+    for r in sorted(counts.collect(), key=lambda r: r[0]):
+        rows.append((r[0], total))
+        total += int(r[1] or 0)
+    return df.sparkSession.createDataFrame(rows or [(0, 0)], f"{group} long, __off long"), total
+
+
+def number_pinned(pinned: DataFrame, out: str) -> Keyed:
+    """Ids of pinned rows: a scan and a join with one offset per partition."""
+    off, total = _offsets(pinned, pinned.groupBy(PART).count(), PART)
+    keyed = (pinned.join(F.broadcast(off), PART)  # one row per partition
+             .withColumn(out, F.col("__off") + F.col(POS) + F.lit(1)).drop(PART, POS, "__off"))
+    return Keyed(keyed.select(out, *[c for c in keyed.columns if c != out]), total)
+
+
+def dense_key(df: DataFrame, order_cols: list[str], out: str = "id",
+              num_partitions: int | None = None) -> Keyed:
+    """K3: dense 1..N key following ``order_cols`` (which must be unique for a
+    deterministic result)."""
+    return number_pinned(pin_sorted(df, order_cols, num_partitions), out)
 
-def partition_sums(df: DataFrame, exprs: dict[str, Column]) -> dict[str, dict[int, int]]:
-    """Per-partition sums of several row expressions in one pass (one row per
-    partition reaches the driver). Used to size rows that a narrow generator
-    (explode) would produce, without running the generator."""
-    rows = (df.groupBy(F.spark_partition_id().alias("__pid"))
-            .agg(*[F.sum(F.coalesce(e, F.lit(0))).alias(n) for n, e in exprs.items()])
-            .collect())
-    return {n: {int(r["__pid"]): int(r[n] or 0) for r in rows} for n in exprs}
 
+def child_key(df: DataFrame, parent: str, array: Column, value: str, out: str = "id") -> DataFrame:
+    """Dense ids of an array's elements in (parent, position) order, where the
+    parent is itself a dense key: (out, df's columns, pos, value).
 
-def dense_key(df: DataFrame, order_cols: list[str] | None, out: str = "id",
-              pinned: bool = False, num_partitions: int | None = None,
-              counts: dict[int, int] | None = None) -> Keyed:
-    """K3: dense 1..N key following ``order_cols`` (which must be unique for a
-    deterministic result). ``pinned=True`` means ``df`` is already a narrow
-    derivation of a pinned, sorted frame (e.g. exploded from it) whose row
-    order is the wanted order, so no new shuffle is needed. ``counts``
-    (rows per partition, e.g. from ``partition_sums``) skips the count job."""
-    if not pinned:
-        df = pin_sorted(df, order_cols or [], num_partitions)
-    spark = df.sparkSession
-    tagged = df.withColumn("__mid", F.monotonically_increasing_id())
-    pid = F.shiftright(F.col("__mid"), _PID_SHIFT)
-    if counts is None:
-        rows = (tagged.select(pid.alias("__pid")).groupBy("__pid").count()
-                .collect())  # one row per partition
-        counts = {int(r["__pid"]): int(r["count"]) for r in rows}
-    offsets, run = [], 0
-    for p in sorted(counts):
-        offsets.append((p, run))
-        run += counts[p]
-    off_df = spark.createDataFrame(offsets or [(0, 0)], T.StructType([
-        T.StructField("__pid", T.LongType(), False),
-        T.StructField("__off", T.LongType(), False)]))
-    local = F.col("__mid").bitwiseAND(F.lit((1 << _PID_SHIFT) - 1))
-    keyed = (tagged.withColumn("__pid", pid)
-             .join(F.broadcast(off_df), "__pid")
-             .withColumn(out, F.col("__off") + local + F.lit(1))
-             .drop("__pid", "__off", "__mid"))
-    return Keyed(keyed.select(out, *[c for c in keyed.columns if c != out]), run)
+    Parents fall into groups of bounded size by their id; a running sum within
+    the group and one total per group give each parent its first id."""
+    own = df.withColumn("__els", array)
+    size = F.coalesce(F.size("__els"), F.lit(0))
+    grouped = own.withColumn("__grp", F.floor((F.col(parent) - 1) / PARENTS_PER_GROUP))
+    off, _ = _offsets(df, grouped.groupBy("__grp").agg(F.sum(size).alias("n")), "__grp")
+    before = Window.partitionBy("__grp").orderBy(parent).rowsBetween(Window.unboundedPreceding, -1)
+    placed = grouped.withColumn("__start", F.coalesce(F.sum(size).over(before), F.lit(0)))
+    rows = placed.join(F.broadcast(off), "__grp").select(  # one row per group of parents
+        *df.columns, (F.col("__off") + F.col("__start")).alias("__start"), F.posexplode("__els").alias("pos", value))
+    return rows.select((F.col("__start") + F.col("pos") + F.lit(1)).alias(out), *df.columns, "pos", value)
 
 
 def org_keys(orgs: DataFrame) -> Keyed:
@@ -98,20 +114,14 @@ def study_keys(studies: DataFrame) -> Keyed:
     return dense_key(studies, ["source_row_index"], "study_id")
 
 
-def broadcast_if_small(df: DataFrame, rows: int, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise let the
-    planner (and AQE, on runtime sizes) choose a shuffled join."""
-    return F.broadcast(df) if rows <= max_rows else df
-
-
-def resolve_org_id(studies: DataFrame, orgs: DataFrame, org_rows: int | None = None,
-                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """K4: name → id, unknown name → null id (left lookup). ``org_rows`` is
-    the dimension's exact row count (known from its key job)."""
+def resolve_org_id(studies: DataFrame, orgs: DataFrame) -> DataFrame:
+    """K4: name → id, unknown name → null id (left lookup). Null names match
+    nothing, however many there are, and take no part in the join; how to join
+    is the planner's choice, by measured bytes."""
     dim = orgs.select("org_name", "org_id")
-    if org_rows is not None:
-        dim = broadcast_if_small(dim, org_rows, max_broadcast_rows)
-    return studies.join(dim, "org_name", "left")
+    named = studies.filter(F.col("org_name").isNotNull()).join(dim, "org_name", "left")
+    unnamed = studies.filter(F.col("org_name").isNull()).withColumn("org_id", F.lit(None).cast("bigint"))
+    return named.unionByName(unnamed)
 
 
 def resolve_study_id(bridge: DataFrame, studies: DataFrame) -> DataFrame:

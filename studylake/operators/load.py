@@ -28,6 +28,43 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none if it is missing."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def newest(spark: SparkSession, root: str, prefix: str) -> int | None:
+    """The largest number n of the complete folders ``<prefix>=<n>`` below a root."""
+    found = [int(n.removeprefix(f"{prefix}=")) for n in names(spark, root) if n.startswith(f"{prefix}=")]
+    return max((i for i in found if exists(spark, os.path.join(root, f"{prefix}={i}", "_SUCCESS"))), default=None)
+
+
+def publish(spark: SparkSession, root: str, run_id: str, paths: dict[str, str]) -> None:
+    """Point readers at a run: a new numbered pointer below ``root/_published``,
+    never an overwritten one. It counts once its write is committed."""
+    pointers = os.path.join(root, "_published")
+    number = (newest(spark, pointers, "version") or 0) + 1
+    (spark.createDataFrame([(run_id, t, p) for t, p in paths.items()], "run_id string, table_name string, path string")
+     .coalesce(1).write.parquet(os.path.join(pointers, f"version={number}")))
+
+
+def published(spark: SparkSession, root: str) -> dict[str, str]:
+    """Table → path of the run that was published last; empty before the first."""
+    pointers = os.path.join(root, "_published")
+    number = newest(spark, pointers, "version")
+    if number is None:
+        return {}
+    rows = spark.read.parquet(os.path.join(pointers, f"version={number}")).collect()  # one row per table
+    return {r["table_name"]: r["path"] for r in rows}
+
+
 def load_full_refresh(spark: SparkSession, tables: dict[str, DataFrame],
                       run_root: str | None = None,
                       partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
@@ -76,8 +113,10 @@ def cascade_delete(tables: dict[str, DataFrame], doomed_study_ids: DataFrame) ->
 
 
 class RunLog:
-    """Pipeline-log rows, one per step, appended to a Parquet table.
-    Counts are passed in (from observations), so logging costs no scan."""
+    """Pipeline-log rows, one per step, each appended to a Parquet table as
+    the step ends, so a run that breaks off keeps its steps and all runs of a
+    root share one history. Counts are passed in (from observations), so
+    logging costs no scan."""
 
     def __init__(self, spark: SparkSession, run_id: str, path: str | None = None):
         self.spark = spark
@@ -93,10 +132,12 @@ class RunLog:
         dur = decimal.Decimal(str(round((completed_at - started_at).total_seconds(), 2)))
         self.rows.append((len(self.rows) + 1, self.run_id, step_name, status, int(rows_processed),
                           int(rows_rejected), error_message, started_at, completed_at, dur))
+        if self.path:
+            self._frame(self.rows[-1:]).coalesce(1).write.mode("append").parquet(self.path)
 
     def frame(self) -> DataFrame:
-        return self.spark.createDataFrame(self.rows, PIPELINE_LOG_SCHEMA)
+        """This run's steps."""
+        return self._frame(self.rows)
 
-    def flush(self) -> None:
-        if self.path and self.rows:
-            self.frame().write.mode("append").parquet(self.path)
+    def _frame(self, rows: list[tuple]) -> DataFrame:
+        return self.spark.createDataFrame(rows, PIPELINE_LOG_SCHEMA)

@@ -1,7 +1,8 @@
 """Normalisation: multi-value columns → bridge rows, and the organization
 dimension. Splits are generators (narrow, no shuffle); the dimension is a
-hash aggregate with map-side partial aggregation, so a name that holds a
-third of all rows still only ships one partial row per task."""
+hash aggregate (``min`` of the row index) with map-side partial aggregation,
+so a name that holds a third of all rows still only ships one partial row per
+task."""
 
 from __future__ import annotations
 
@@ -59,7 +60,8 @@ def split_summary(df: DataFrame, column: str, sep: str | None, out: str) -> Data
 
 def extract_orgs(cleaned: DataFrame) -> DataFrame:
     """One row per organization name (null name included, as one group)
-    with the class of its first row and that row's index."""
-    return cleaned.groupBy("org_name").agg(
-        F.min_by("org_class", "source_row_index").alias("org_class"),
-        F.min("source_row_index").alias("first_row_index"))
+    with the class of its first row and that row's index: a hash aggregate on
+    the unique row index, then an equi-join on that index for the class."""
+    first = cleaned.groupBy("org_name").agg(F.min("source_row_index").alias("first_row_index"))
+    of = cleaned.select(F.col("source_row_index").alias("first_row_index"), "org_class")
+    return first.join(of, "first_row_index").select("org_name", "org_class", "first_row_index")

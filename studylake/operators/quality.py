@@ -136,6 +136,12 @@ def contract_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def contract(tables: dict[str, DataFrame]) -> DataFrame:
+    """D8–D10 over every warehouse table present: nulls, lengths, foreign keys."""
+    return reduce(DataFrame.unionByName, [contract_nulls(tables), contract_max_length(tables),
+                                          contract_foreign_keys(tables)])
+
+
 STUDY_ENUMS = [("study_type", TX.VALID_STUDY_TYPES), ("overall_status", TX.VALID_STATUSES),
                ("responsible_party", TX.VALID_RESPONSIBLE_PARTIES)]
 

@@ -1,9 +1,9 @@
 """Newest-wins upsert and run-log trend.
 
 The upsert keeps, per key, the row with the greatest (order columns) over
-base ∪ updates. It is a hash aggregate with ``max_by`` — partial aggregation
-runs map-side, so a key holding a third of all rows costs one partial row
-per task instead of one giant sort group."""
+base ∪ updates. ``max_by`` over a struct plans as a sort aggregate, so rows
+are sorted by key before the partial aggregation; that still runs map-side,
+and a key holding a third of all rows ships one partial row per task."""
 
 from __future__ import annotations
 

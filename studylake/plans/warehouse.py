@@ -1,12 +1,12 @@
 """Warehouse build: cleaned rows → organizations, studies and bridge tables
 with dense surrogate keys.
 
-Plan shape (one range shuffle for the fact, none for the bridges):
-  raw ─ pin by source_row_index (range shuffle + sort) ─ clean (projection)
-  ─ checkpoint ─ study_id ─┬─ studies ⋈ organizations (broadcast behind a
-                          │  proven row bound, else shuffled)
-                          └─ explode bridges (narrow; ids reuse the pinned order)
-  organizations: hash aggregate (partial agg map-side) → pinned → org_id
+Plan shape (one range shuffle for the fact):
+  raw ─ range shuffle and sort by source_row_index ─ clean (projection)
+  ─ written once as Parquet with partition and position ─ study_id ─┬─ studies ⋈ organizations
+                          └─ bridges (their own column only; ids by a running
+                             sum within groups of studies)
+  organizations: hash aggregate (partial agg map-side) → sorted by first row → org_id
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import clean as C
 from ..operators import keys as K
 from ..operators import normalize as N
-from ..schemas import BRIDGE_SOURCE, BRIDGES, STUDY_COLUMNS
+from ..schemas import BRIDGE_SOURCE, BRIDGES
 from ..sources import fixtures
 
 
@@ -27,22 +27,19 @@ class Warehouse:
     """Lazily built warehouse tables. Each property is built once; keyed
     tables trigger their (bounded) key jobs when first touched."""
 
-    def __init__(self, cleaned: DataFrame, locations: DataFrame | None = None,
-                 org_broadcast_rows: int = 2_000_000, pinned: bool = False):
+    def __init__(self, cleaned: DataFrame, locations: DataFrame | None = None, pinned: bool = False):
         """``cleaned``: cleaned study rows. ``pinned=True``: they are already
-        range-partitioned and sorted by ``source_row_index`` and
-        checkpointed (see ``from_raw``)."""
+        written in ``source_row_index`` order (see ``from_raw``)."""
         self.cleaned = cleaned
         self._pinned = pinned
         self._locations_src = locations
-        self.org_broadcast_rows = org_broadcast_rows
 
     @classmethod
     def from_raw(cls, raw: DataFrame, locations: DataFrame | None = None,
                  clean=C.clean_raw, **kw) -> Warehouse:
         """Pin the raw rows by ``source_row_index`` (which cleaning never
-        changes) and clean after the shuffle, inside the checkpoint job, so
-        the range sampling pass reads raw rows only and cleaning runs once."""
+        changes) and clean after the shuffle, inside the write, so the range
+        sampling pass reads raw rows only and cleaning runs once."""
         pinned = K.pin_sorted(raw, ["source_row_index"], then=clean)
         return cls(pinned, locations, pinned=True, **kw)
 
@@ -55,7 +52,7 @@ class Warehouse:
     @cached_property
     def organizations_all(self) -> DataFrame:
         """N7 output, null name included. Read from the pinned fact (already
-        cleaned and checkpointed), so the source is not cleaned twice."""
+        cleaned and written), so the source is not cleaned twice."""
         return N.extract_orgs(self._keyed_rows.df)
 
     @cached_property
@@ -69,47 +66,24 @@ class Warehouse:
     # -- fact --------------------------------------------------------------
     @cached_property
     def _keyed_rows(self) -> K.Keyed:
-        """Cleaned rows with study_id, pinned in source_row_index order."""
+        """Cleaned rows with study_id, in source_row_index order."""
         if self._pinned:
-            return K.dense_key(self.cleaned, None, "study_id", pinned=True,
-                               counts=self._pin_counts["__rows"])
+            return K.number_pinned(self.cleaned, "study_id")
         return K.study_keys(self.cleaned)
 
-    @cached_property
-    def _pin_counts(self) -> dict[str, dict[int, int]]:
-        """One pass over the pinned rows: rows per partition (study keys) and
-        bridge rows per partition for all four bridges (token-array sizes, no
-        explode)."""
-        exprs = {"__rows": F.lit(1)}
-        exprs.update({name: F.size(N.tokens(BRIDGE_SOURCE[name], BRIDGES[name][2]))
-                      for name in BRIDGES})
-        return K.partition_sums(self.cleaned, exprs)
-
     @cached_property
     def studies(self) -> DataFrame:
         fact = C.build_studies(self._keyed_rows.df)
-        with_org = K.resolve_org_id(fact, self.organizations, self._orgs_keyed.rows,
-                                    self.org_broadcast_rows)
+        with_org = K.resolve_org_id(fact, self.organizations)
         cols = ["study_id", "org_id"] + [c for c in fact.columns if c != "study_id"]
         return with_org.select(*cols)
 
     # -- bridges -----------------------------------------------------------
-    @cached_property
-    def _bridge_counts(self) -> dict[str, dict[int, int]]:
-        """Bridge rows per partition of the pinned fact, for all four bridges
-        in one pass: the size of each token array, no explode."""
-        if self._pinned:
-            return self._pin_counts
-        return K.partition_sums(self._keyed_rows.df, {
-            name: F.size(N.tokens(BRIDGE_SOURCE[name], BRIDGES[name][2])) for name in BRIDGES})
-
     def bridge(self, name: str) -> DataFrame:
-        table, value_col, sep = BRIDGES[name]
+        _, value_col, sep = BRIDGES[name]
         src = BRIDGE_SOURCE[name]
-        exploded = N.split_multi_value(self._keyed_rows.df, src, sep, value_col,
-                                       keys=("study_id", "source_row_index"))
-        keyed = K.dense_key(exploded, None, "id", pinned=True,
-                            counts=self._bridge_counts[name]).df
+        rows = self._keyed_rows.df.select("study_id", "source_row_index", src)
+        keyed = K.child_key(rows, "study_id", N.tokens(src, sep), value_col)
         return keyed.select("id", "study_id", value_col, "source_row_index", "pos")
 
     @cached_property
@@ -130,12 +104,21 @@ class Warehouse:
 
     @cached_property
     def locations(self) -> DataFrame:
-        """L4: site rows resolved to study ids (unmapped dropped)."""
+        """L4: site rows resolved to study ids (unmapped ones are
+        ``locations_rejected``). Sites of a study follow their position, where
+        the source has one, and then their own columns, so ids are the same in
+        every run."""
         if self._locations_src is None:
             raise ValueError("no location source bound")
+        site = ["facility", "city", "state", "country", "zip_code"]
         resolved = K.resolve_study_id(self._locations_src, self._keyed_rows.df)
-        keyed = K.dense_key(resolved, ["source_row_index"], "id").df
-        return keyed.select("id", "study_id", "facility", "city", "state", "country", "zip_code")
+        order = ["study_id", *(["site_pos"] if "site_pos" in resolved.columns else []), *site]
+        return K.dense_key(resolved, order, "id").df.select("id", "study_id", *site)
+
+    @cached_property
+    def locations_rejected(self) -> DataFrame:
+        """K6: site rows whose study is not in the run."""
+        return K.unmapped_rows(self._locations_src, self._keyed_rows.df)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -146,6 +129,3 @@ class Warehouse:
             "study_age_groups": self.age_groups.select("id", "study_id", "age_group"),
             "study_mesh_terms": self.mesh_terms.select("id", "study_id", "mesh_term"),
         }
-
-
-STUDY_FACT_COLUMNS = ["study_id", "org_id"] + STUDY_COLUMNS

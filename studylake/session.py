@@ -62,6 +62,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def warehouse_root(spark: SparkSession) -> str:
+    """The one place where runs are published when the caller names none."""
+    return os.path.join(spark.conf.get("studylake.warehouse.dir", None) or os.path.join(
+        checkpoint_dir(spark), "studylake"), "warehouse")
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables
     (staged clean output, warehouse runs). Each call gets a new run folder, so

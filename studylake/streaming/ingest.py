@@ -15,6 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.load import exists, newest
 from ..operators.upsert import upsert_latest
 
 
@@ -27,7 +28,9 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
                   max_files_per_trigger: int | None = None,
                   dedup_watermark: tuple[str, str] | None = None) -> str | None:
     """Run the ingest until the landed files are consumed; return the path of
-    the newest state version (None when nothing was processed)."""
+    the newest state version, also when nothing new has landed (None before
+    the first batch). A batch whose predecessor's state is missing raises: it
+    is never taken for an empty state."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -36,29 +39,26 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
         ts_col, delay = dedup_watermark
         stream = (stream.withWatermark(ts_col, delay)
                   .dropDuplicatesWithinWatermark(keys + order))
-    last = {"id": None}
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        prev = _version(state_root, batch_id - 1) if batch_id > 0 else None
-        if prev is not None and _exists(spark, prev):
+        if batch_id > 0:
+            prev = _version(state_root, batch_id - 1)
+            if not exists(spark, os.path.join(prev, "_SUCCESS")):
+                raise FileNotFoundError(f"state of batch {batch_id - 1} is missing: {prev}")
             base = spark.read.parquet(prev)
         else:
             base = spark.createDataFrame([], batch.schema)
         merged = upsert_latest(base, batch.select(*base.columns) if base.columns else batch,
                                keys, order)
         merged.write.mode("overwrite").parquet(_version(state_root, batch_id))
-        last["id"] = batch_id
 
     q = (stream.writeStream.trigger(availableNow=True)
          .option("checkpointLocation", checkpoint).foreachBatch(apply).start())
     q.awaitTermination()
-    if last["id"] is None:
-        return None
-    return _version(state_root, last["id"])
+    return newest_version(spark, state_root)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+def newest_version(spark: SparkSession, state_root: str) -> str | None:
+    """The newest complete state version below the root."""
+    number = newest(spark, state_root, "batch")
+    return None if number is None else _version(state_root, number)
