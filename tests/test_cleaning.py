@@ -1,4 +1,4 @@
-"""Cleaning, normalisation and statistics on the reference's 5-row fixture
+"""Cleaning, normalisation and statistics on a six-row fixture
 (hand-derived expectations), plus the whitespace/date parity traps."""
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ def by_idx(df, col):
 
 def test_unknown_becomes_null(sample_raw):
     c = C.clean_raw(sample_raw)
-    assert by_idx(c, "org_name")[4] is None
-    assert by_idx(c, "org_name")[0] == "Harvard"
+    assert by_idx(c, "org_name")[3] is None
+    assert by_idx(c, "org_name")[0] == "Nordlund Clinic"
 
 
 def test_hidden_null_count(sample_raw):
-    assert C.hidden_null_count(sample_raw).first()["hidden_nulls_replaced"] == 15
+    assert C.hidden_null_count(sample_raw).first()["hidden_nulls_replaced"] == 16
 
 
 def test_match_is_exact_and_case_sensitive(spark):
@@ -47,23 +47,24 @@ def test_strip_runs_before_match_and_blank_stays_empty(spark):
 
 def test_year_month_is_approximate(sample_raw):
     c = C.clean_raw(sample_raw)
-    assert by_idx(c, "start_date_is_approx") == {0: False, 1: True, 2: False, 3: False, 4: False}
-    assert by_idx(c, "start_date")[1] == dt.date(2021, 6, 1)
+    assert by_idx(c, "start_date_is_approx") == {
+        0: False, 1: False, 2: True, 3: False, 4: False, 5: True}
+    assert by_idx(c, "start_date")[2] == dt.date(2015, 9, 1)
 
 
 def test_full_date_parsed(sample_raw):
-    assert by_idx(C.clean_raw(sample_raw), "start_date")[0] == dt.date(2020, 1, 15)
+    assert by_idx(C.clean_raw(sample_raw), "start_date")[1] == dt.date(2011, 2, 28)
 
 
 def test_suspicious_date_nulled_raw_kept(sample_raw):
     c = C.clean_raw(sample_raw)
-    assert by_idx(c, "start_date")[3] is None
-    assert by_idx(c, "start_date_raw")[3] == "1940-01-01"
+    assert by_idx(c, "start_date")[0] is None
+    assert by_idx(c, "start_date_raw")[0] == "1949-12-31"
 
 
 def test_date_stats(sample_raw):
     s = C.date_stats(C.clean_raw(sample_raw)).first().asDict()
-    assert s == {"dates_approximate": 1, "dates_parsed": 4, "dates_unparseable": 0,
+    assert s == {"dates_approximate": 2, "dates_parsed": 5, "dates_unparseable": 0,
                  "dates_suspicious": 1}
 
 
@@ -88,10 +89,10 @@ def test_year_month_13_flagged_and_unparseable(spark):
 
 def test_split_counts(sample_raw):
     c = C.clean_raw(sample_raw)
-    assert N.split_conditions(c).count() == 7
-    assert N.split_interventions(c).count() == 6
-    assert N.split_age_groups(c).count() == 9
-    assert N.split_mesh(c).count() == 4
+    assert N.split_conditions(c).count() == 9
+    assert N.split_interventions(c).count() == 8
+    assert N.split_age_groups(c).count() == 7
+    assert N.split_mesh(c).count() == 6
 
 
 def test_split_strips_and_drops_empty(spark):
@@ -111,7 +112,7 @@ def test_whitespace_split_collapses_runs(spark):
 
 def test_split_summary(sample_raw):
     s = N.split_summary(C.clean_raw(sample_raw), "conditions", ",", "v").first()
-    assert (s["input_rows"], s["values"], s["unique_values"]) == (4, 7, 7)
+    assert (s["input_rows"], s["values"], s["unique_values"]) == (5, 9, 9)
 
 
 # -- organizations ---------------------------------------------------------------------
@@ -120,7 +121,7 @@ def test_orgs_deduplicated_with_null_group(sample_raw):
     orgs = N.extract_orgs(C.clean_raw(sample_raw))
     assert orgs.count() == 4
     names = {r["org_name"] for r in orgs.collect()}
-    assert names == {"Harvard", "MIT", "NIH", None}
+    assert names == {"Nordlund Clinic", "Bayview Trials", "Ostara Labs", None}
 
 
 def test_org_keeps_first_rows_class(spark):
@@ -134,25 +135,25 @@ def test_org_keeps_first_rows_class(spark):
 
 def test_studies_shape(sample_raw):
     s = C.build_studies(C.clean_raw(sample_raw))
-    assert s.count() == 5 and len(s.columns) == 14
+    assert s.count() == 6 and len(s.columns) == 14
 
 
 def test_unknown_type_defaults(sample_raw):
     s = C.build_studies(C.clean_raw(sample_raw))
-    assert by_idx(s, "study_type")[4] == "UNKNOWN"
+    assert by_idx(s, "study_type")[2] == "UNKNOWN"
 
 
 def test_no_phases_listed_is_null(sample_raw):
     s = C.build_studies(C.clean_raw(sample_raw))
-    assert by_idx(s, "phase")[2] is None and by_idx(s, "phase")[3] == "PHASE1, PHASE2"
+    assert by_idx(s, "phase")[2] is None and by_idx(s, "phase")[1] == "PHASE2, PHASE3"
 
 
 # -- statistics -----------------------------------------------------------------------
 
 def test_clean_stats(sample_raw):
     s = C.clean_stats(sample_raw).first().asDict()
-    assert s["rows_input"] == 5 and s["rows_output"] == 5
-    assert s["hidden_nulls_replaced"] == 15 and s["dates_suspicious"] == 1
+    assert s["rows_input"] == 6 and s["rows_output"] == 6
+    assert s["hidden_nulls_replaced"] == 16 and s["dates_suspicious"] == 1
 
 
 def test_strip_matches_python_strip(spark):

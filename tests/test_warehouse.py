@@ -164,7 +164,7 @@ def test_plans_have_no_python_udf_and_prune_partitions(spark):
                C.clean_stats(fixtures.raw_studies(spark, SF))):
         plan = _plan(df)
         assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
-    # organizations join is broadcast behind the proven row bound
+    # one offset per partition is broadcast
     assert "BroadcastHashJoin" in _plan(w.studies)
     s = w.studies.withColumn("start_year", F.year("start_date"))
     path = os.path.join(staging_path(spark, "t-part"), "s")
@@ -219,3 +219,71 @@ def test_backfill_end_to_end(spark):
     assert t["study_conditions"].join(t["studies"], "study_id", "left_anti").count() == 0
     steps = [r.step_name for r in res.log.collect()]
     assert steps[0] == "clean" and steps[-1] == "publish"
+
+
+def _rows(spark, path):
+    return spark.read.parquet(path).count()
+
+
+def test_failed_run_leaves_the_published_one(spark):
+    from studylake.plans.pipeline import run_backfill
+    root = staging_path(spark, "t-publish")
+    raw, sites = fixtures.raw_studies(spark, SF), fixtures.raw_locations(spark, SF)
+    good = run_backfill(spark, raw, sites, run_id="a", root=root)
+    assert good.ok and L.published(spark, root) == good.paths
+    before = {t: _rows(spark, p) for t, p in good.paths.items()}
+    long_name = raw.withColumn("org_name", F.when(F.col("source_row_index") == raw.first()["source_row_index"], F.repeat(F.lit("x"), 600))
+                               .otherwise(F.col("org_name")))
+    orphans = sites.limit(7).withColumn("source_row_index", F.lit(-1).cast("long"))
+    bad = run_backfill(spark, long_name, sites.unionByName(orphans), run_id="b", root=root)
+    assert not bad.ok and "max_length organizations.org_name: 1" in bad.report
+    assert L.published(spark, root) == good.paths
+    assert {t: _rows(spark, p) for t, p in good.paths.items()} == before
+    log = spark.read.parquet(os.path.join(root, "pipeline_log"))
+    assert {r["run_id"] for r in log.collect()} == {"a", "b"}
+    sites_step = log.filter("run_id = 'b' AND step_name = 'stage_study_locations'").first()
+    assert sites_step["rows_rejected"] == 7
+
+
+def test_contract_checks_fail_on_bad_rows(spark):
+    orgs = spark.createDataFrame([(1, None, "c"), (2, "y" * 501, "c")], "org_id long, org_name string, org_class string")
+    studies = spark.createDataFrame([(1, 9, "t", "X")], "study_id long, org_id long, brief_title string, study_type string")
+    got = {(r["check_name"], r["column_name"]): r["failures"] for r in Q.contract({"organizations": orgs, "studies": studies}).collect()}
+    assert got[("contract_not_null", "org_name")] == 1 and got[("max_length", "org_name")] == 1
+    assert got[("foreign_key", "org_id")] == 1
+
+
+def test_ids_do_not_depend_on_partitions(spark):
+    df = spark.range(1, 200).select(F.col("id").alias("study_id"), F.expr("transform(sequence(1, cast(id % 4 as int)), x -> concat('v', x))").alias("a"))
+    df = df.withColumn("a", F.when(F.col("study_id") % 4 == 0, F.lit(None)).otherwise(F.col("a")))
+    want = [(i + 1, s, p) for i, (s, p) in enumerate((s, p) for s in range(1, 200) if s % 4 for p in range(s % 4))]
+    for n in (1, 5):
+        rows = K.child_key(df.repartition(n), "study_id", F.col("a"), "v").collect()
+        assert sorted((r["id"], r["study_id"], r["pos"]) for r in rows) == want
+
+
+def test_bridge_reads_its_own_column_only(spark):
+    w = Warehouse.from_sf(spark, SF)
+    plan = _plan(w.conditions.select("study_id", "condition_name"))
+    schemas = [line for line in plan.split("\n") if "conditions" in line and "ReadSchema" in line]
+    assert schemas and all("brief_title" not in s and "org_name" not in s for s in schemas)
+
+
+def test_organizations_plan_without_sort_aggregate(spark):
+    assert "SortAggregate" not in _plan(Warehouse.from_sf(spark, SF).organizations_all)
+
+
+def test_stream_state_is_never_taken_for_empty(spark):
+    e = fixtures.table(spark, SF, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    root = staging_path(spark, "t-state")
+    land, state, ckpt = (os.path.join(root, x) for x in ("land", "state", "ckpt"))
+    run = lambda: stream_upsert(spark, land, e.schema, state, ckpt, ["user_id"], ["ts", "event_id"])
+    e.filter("event_id % 2 = 0").write.parquet(land)
+    first = run()
+    assert run() == first  # nothing new: the newest state
+    e.filter("event_id % 2 = 1").write.mode("append").parquet(land)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(os.path.join(first, "_SUCCESS"))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+    with pytest.raises(Exception, match="missing"):
+        run()
