@@ -129,11 +129,17 @@ def json_join_struct(spark, sf_dir):
                                        "outcome_measure")
 
 
-@register("json_bad_records")
+@register("json_bad_records", O.with_raw(f"""
+SELECT {NCT} AS nct_id, 'unreadable study' AS reason FROM raw WHERE source_row_index % 10 = 7
+UNION ALL SELECT NULL, 'unreadable page'"""))
 def json_bad_records(spark, sf_dir):
-    """J4 (rows-only): one corrupt document landed next to the pages."""
-    pages = J.read_pages(spark, _landed_pages(spark, sf_dir, corrupt=True))
-    return J.bad_records(pages)
+    """Pages where every enrollment count that ends in 7 is no number, and
+    one page that breaks off. The other studies of those pages stay readable."""
+    path = _landed_pages(spark, sf_dir, corrupt=True)
+    root = os.path.join(staging_path(spark, "json-bad"), "pages")
+    broken = F.regexp_replace("value", '"count":([0-9]*7),', '"count":"no $1",')
+    spark.read.text(path).select(broken.alias("value")).write.text(root)
+    return J.bad_records(J.read_pages(spark, root)).select("nct_id", "reason")
 
 
 @register("explode_locations", O.with_raw(f"""

@@ -153,7 +153,7 @@ STUDY_JSON_SCHEMA = T.StructType([
     ])),
 ])
 PAGE_JSON_SCHEMA = T.StructType([
-    T.StructField("studies", T.ArrayType(STUDY_JSON_SCHEMA)),
+    T.StructField("studies", T.ArrayType(_S)),  # raw text, parsed study by study
     T.StructField("totalCount", T.LongType()),
     T.StructField("nextPageToken", _S),
     T.StructField("_corrupt_record", _S),

@@ -1,18 +1,20 @@
 """Landed JSON pages of a study registry API.
 
 Each page document is ``{studies: [...], totalCount, nextPageToken}``; pages
-land as files (one document per line) and are read with an explicit schema
-in PERMISSIVE mode, so a corrupt document becomes a ``_corrupt_record`` row
-instead of failing the job. ``explode(studies)`` yields one row per study;
-flattening is plain nested-field access (missing level → null).
+land as files, one document per line, or one per file over many lines
+(``multi_line``). A page is read with its studies as raw text, and each study
+is parsed alone: a study with a badly typed or broken field is reported with
+its id and file and costs its neighbours nothing. Flattening is plain
+nested-field access (missing level → null).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import PAGE_JSON_SCHEMA
+from ..schemas import PAGE_JSON_SCHEMA, STUDY_JSON_SCHEMA
 
 P = "study.protocolSection"
 
@@ -21,24 +23,40 @@ def _g(path: str) -> Column:
     return F.col(f"{P}.{path}")
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Raw page documents (plus ``_corrupt_record`` for unreadable ones)."""
-    return (spark.read.schema(PAGE_JSON_SCHEMA).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Page documents with their studies as raw text, ``_corrupt_record`` for
+    unreadable ones, and the file that each came from."""
+    return (spark.read.schema(PAGE_JSON_SCHEMA).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+            .withColumn("file", F.col("_metadata.file_path")))
+
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    """One row per study: its raw text, its struct (with ``_corrupt_record``
+    where it could not be read in full), its page's totalCount and file."""
+    schema = T.StructType([*STUDY_JSON_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
+    raw = pages.select(F.explode("studies").alias("raw"), "totalCount", "file")
+    study = F.from_json("raw", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return raw.withColumn("study", study).withColumn(
+        "bad", F.col("study").isNull() | F.col("study._corrupt_record").isNotNull())
 
 
 def bad_records(pages: DataFrame) -> DataFrame:
-    """Documents that could not be parsed, with their source file. (A
-    corrupt document has no parsed fields, so ``studies IS NULL`` holds too;
-    referencing it keeps a parsed column in every pruned plan, e.g. count.)"""
-    return (pages.filter(F.col("_corrupt_record").isNotNull() & F.col("studies").isNull())
-            .select(F.input_file_name().alias("file"), "totalCount", "_corrupt_record"))
+    """What could not be read: studies, by id, and whole pages, each with
+    its file, the reason and its text."""
+    studies = _parsed(pages).filter("bad").select(
+        F.get_json_object("raw", "$.protocolSection.identificationModule.nctId").alias("nct_id"),
+        "file", F.lit("unreadable study").alias("reason"), F.col("raw").alias("text"))
+    whole = pages.filter(F.col("studies").isNull() & F.col("_corrupt_record").isNotNull()).select(
+        F.lit(None).cast("string").alias("nct_id"), "file", F.lit("unreadable page").alias("reason"),
+        F.col("_corrupt_record").alias("text"))
+    return studies.unionByName(whole)
 
 
-def scan_json_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per study (``study`` struct) with its page's totalCount."""
-    pages = read_pages(spark, path).filter(F.col("_corrupt_record").isNull())
-    return pages.select(F.explode("studies").alias("study"), "totalCount")
+def scan_json_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """One row per readable study (``study`` struct) with its page's
+    totalCount. With ``bad_records`` this accounts for every study."""
+    return _parsed(read_pages(spark, path, multi_line)).filter("NOT bad").select("study", "totalCount")
 
 
 def join_scalars(arr: Column, sep: str) -> Column:
@@ -93,10 +111,12 @@ def flatten_studies(studies: DataFrame, with_profile_fields: bool = False) -> Da
     return studies.select(*cols)
 
 
-def explode_locations(flat: DataFrame, key: str = "nct_id") -> DataFrame:
-    """One row per site; studies without sites produce no row."""
-    return flat.select(key, F.explode("_locations").alias("loc")).select(
-        key, F.col("loc.facility").alias("facility"), F.col("loc.city").alias("city"),
+def explode_locations(flat: DataFrame, key: str = "nct_id", with_position: bool = False) -> DataFrame:
+    """One row per site; studies without sites produce no row. With
+    ``with_position`` the site's place in its study is ``site_pos``."""
+    place = ["site_pos"] if with_position else []
+    return flat.select(key, F.posexplode("_locations").alias("site_pos", "loc")).select(
+        key, *place, F.col("loc.facility").alias("facility"), F.col("loc.city").alias("city"),
         F.col("loc.state").alias("state"), F.col("loc.country").alias("country"),
         F.col("loc.zip").alias("zip_code"))
 
@@ -107,7 +127,8 @@ def filter_studies(flat: DataFrame, condition: str | None = None, status: str |
     membership (exact/substring match only)."""
     out = flat
     if condition:
-        out = out.filter(F.col("conditions").contains(condition))
+        # within one condition, never across the join of two
+        out = out.filter(F.exists(F.split("conditions", ", "), lambda c: c.contains(condition)))
     if status:
         out = out.filter(F.col("overall_status") == status)
     if phase:

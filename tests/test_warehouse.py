@@ -287,3 +287,22 @@ def test_stream_state_is_never_taken_for_empty(spark):
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
     with pytest.raises(Exception, match="missing"):
         run()
+
+
+def test_bad_studies_cost_their_neighbours_nothing(spark):
+    def study(i, count):
+        return f'{{"protocolSection": {{"identificationModule": {{"nctId": "N{i}"}}, "designModule": {{"enrollmentInfo": {{"count": {count}}}}}}}}}'
+    page = '{"studies": [%s], "totalCount": 3, "nextPageToken": "p"}'
+    root = staging_path(spark, "t-bad-studies")
+    lines = [page % ", ".join([study(1, 5), study(2, '"many"'), study(3, 7)]), page % study(4, 1), '{"studies": [{"protocolSection": ']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(os.path.join(root, "lines"))
+    good = J.flatten_studies(J.scan_json_pages(spark, os.path.join(root, "lines")))
+    assert sorted(r["nct_id"] for r in good.collect()) == ["N1", "N3", "N4"]
+    bad = J.bad_records(J.read_pages(spark, os.path.join(root, "lines"))).collect()
+    assert sorted((r["nct_id"] or "", r["reason"]) for r in bad) == [("", "unreadable page"), ("N2", "unreadable study")]
+    import json
+    pretty = json.dumps(json.loads(lines[0]), indent=2)
+    spark.createDataFrame([(pretty,)], "value string").coalesce(1).write.text(os.path.join(root, "pretty"))
+    flat = J.flatten_studies(J.scan_json_pages(spark, os.path.join(root, "pretty"), multi_line=True))
+    assert sorted(r["nct_id"] for r in flat.collect()) == ["N1", "N3"]
+    assert J.bad_records(J.read_pages(spark, os.path.join(root, "pretty"), multi_line=True)).count() == 1
