@@ -14,12 +14,14 @@ collection.
 3. In each table cell, members are compared with the cell's leader (two
    leaders by different orders); links are confirmed on the full shingle sets,
    and components are formed.
-4. Cells that still hold more than one component are finished: the members
-   outside the cell's largest component are compared with all members of other
-   components. So no candidate pair is left out that could join two components,
-   and a cell of thousands of near copies costs one comparison a member.
+4. Clusters of candidates that still hold more than one component are finished:
+   the members outside the largest component are compared with all members of
+   other components, by matrix products of shingle sets in bounded blocks that
+   return links and no pairs. So no candidate pair is left out that could join
+   two components, and thousands of near copies of one document that link with
+   each other cost one comparison a member.
 
-Similarity is exact on the words themselves; hashes only choose candidates.
+Every link is confirmed on the words themselves.
 
 Nulls and odd rows: a null or blank text has an empty set and is linked with
 nothing; a document with fewer words than a shingle has its whole sequence as
@@ -45,10 +47,8 @@ from studylake.llm.components import components
 GROUPS, EACH = 12, 3
 HASHES = 2 * GROUPS * EACH
 SEED = 99
-#: Candidate pairs that have not met a leader are compared in full if at least this
-#: many of the 72 minhashes agree. At similarity 0.8, 58 agree on average with a
-#: standard deviation of 3.4: fewer than 32 is 7.5 deviations away.
-AGREE = 32
+#: Documents of a block in which whole sets are compared; characters of text in a task, about.
+BLOCK, TASK_CHARS = 256, 8 << 20
 
 _rng = np.random.default_rng(SEED)
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -192,37 +192,103 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return both.filter(similar("text_a", "text_b")).select("a", "b")
 
 
-def _leaders(cells: DataFrame) -> DataFrame:
-    """Pairs of a member and its cell's leader: for each member the leader that
-    it meets in most tables, by each of two orders."""
-    found = None
+def _leaders(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a member and a cell's leader: for each member the leader that it
+    meets in most tables, by each of two orders; and all pairs of the first."""
+    best, every = None, None
     for salt in (1, 2):
         lead = cells.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "id").alias("o"), "id")).alias("l"),
                                         F.count("*").alias("n")).filter("n > 1").select("key", F.col("l.id").alias("b"))
         lead = staged(lead, "minhash-leaders")
         met = (cells.select("key", F.col("id").alias("a")).join(lead, "key").filter("a <> b")
                .groupBy("a", "b").agg(F.count("*").alias("tables")))
-        best = met.groupBy("a").agg(F.max(F.struct("tables", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b"))
-        found = best if found is None else found.unionByName(best)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        met = staged(met, "minhash-met")
+        own = met.groupBy("a").agg(F.max(F.struct("tables", (-F.col("b")).alias("b"))).alias("m")).select("a", (-F.col("m.b")).alias("b"))
+        best = own if best is None else best.unionByName(own)
+        every = met.select("a", "b") if every is None else every
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), every
 
 
-def _remaining(cells: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of cells that hold several components."""
-    known = cells.join(labels.select("id", "component_id"), "id", "left").select(
-        "key", "id", F.coalesce("component_id", "id").alias("comp"))
-    sizes = known.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    open_cells = (sizes.groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top"))
-                  .filter("comps > 1").select("key", F.col("top.comp").alias("top")))
-    rows = known.join(staged(open_cells, "minhash-open"), "key")
-    rows = staged(rows.join(classes.select("id", "n_shingles", "sig"), "id"), "minhash-open-rows")
-    x, y = rows.filter("comp <> top").alias("x"), rows.alias("y")
-    agree = F.aggregate(F.zip_with(F.col("x.sig"), F.col("y.sig"), lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
-    small, large = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-    # a pair whose sizes differ too much cannot reach the similarity
-    cond = ((F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
-            & (100 * small >= percent * large) & (agree >= AGREE))
-    return x.join(y, cond).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+def _sets(texts: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingle hashes, the text of each, and the size of each text's set."""
+    found, owner = [], []
+    for block in W.blocks([_lower(t) for t in texts]):
+        h, doc = _shingles(block, width)
+        found.append(h)
+        owner.append(doc + block.first)
+    h, doc = np.concatenate(found), np.concatenate(owner)
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    h, doc = h[new], doc[new]
+    return h, doc, np.bincount(doc, minlength=len(texts))
+
+
+def _shared(x: tuple, y: tuple) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets."""
+    common = np.intersect1d(x[0], y[0])
+    out = np.zeros((len(x[2]), len(y[2])), np.float32)
+    for at in range(0, len(common), 4096):  # slices of shingles keep the matrices small
+        part = common[at:at + 4096]
+        both = []
+        for h, doc, n in (x, y):
+            k = np.searchsorted(part, h)
+            ok = (k < len(part)) & (part[np.minimum(k, len(part) - 1)] == h)
+            m = np.zeros((len(n), len(part)), np.float32)
+            m[doc[ok], k[ok]] = 1
+            both.append(m)
+        out += both[0] @ both[1].T
+    return out
+
+
+def _remaining(every: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components among documents that can have met in a cell.
+
+    Whoever shares a cell is linked to its leader, so candidates lie within one
+    component of the member-leader table. Where such a cluster holds several
+    components of confirmed links, the documents outside the largest are compared
+    with all others, by intersections of whole shingle sets in blocks of bounded
+    size. Of the links of a document to one component, one is returned."""
+    clusters = components(every).withColumnRenamed("component_id", "cluster")
+    known = clusters.join(labels, "id", "left").select("id", "cluster", F.coalesce("component_id", "id").alias("comp"))
+    known = staged(known, "minhash-known")
+    sizes = known.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    several = (sizes.groupBy("cluster").agg(F.count("*").alias("comps"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
+               .filter("comps > 1").select("cluster", F.col("top.comp").alias("top"), blocks(F.col("n")).alias("blocks"),
+                                           blocks(F.col("n") - F.col("top.n")).alias("out_blocks")))
+    rows = staged(known.join(staged(several, "minhash-open"), "cluster"), "minhash-open-rows")
+    hash_ = F.xxhash64(F.lit(3), "id")
+    left = rows.filter("comp <> top").select("id", "cluster", "comp", F.lit(True).alias("out"), F.pmod(hash_, "out_blocks").cast("int").alias("i"),
+                                             F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    right = rows.select("id", "cluster", "comp", F.lit(False).alias("out"),
+                        F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)).alias("i"), F.pmod(hash_, "blocks").cast("int").alias("j"))
+    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    task = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(max(256, int(total) // TASK_CHARS))).cast("int")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        for _, part in group.groupby(["cluster", "i", "j"], sort=False):
+            x, y = part[part["out"]], part[~part["out"]]
+            if not len(x) or not len(y):
+                continue
+            sx, sy = _sets(x["text"], width), _sets(y["text"], width)
+            both = _shared(sx, sy).astype(np.int64)
+            union = sx[2][:, None] + sy[2][None] - both
+            comps = y["comp"].to_numpy()
+            linked = (100 * both >= percent * union) & (both > 0) & (x["comp"].to_numpy()[:, None] != comps[None])
+            ids_x, ids_y = x["id"].to_numpy(), y["id"].to_numpy()
+            for r in np.flatnonzero(linked.any(1)):
+                one = np.flatnonzero(linked[r])
+                one = one[np.unique(comps[one], return_index=True)[1]]
+                a += [ids_x[r]] * len(one)
+                b += ids_y[one].tolist()
+        return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
+
+    both = left.unionByName(right).join(texts, "id").withColumn("task", task)
+    found = both.groupBy("task").applyInPandas(compare, "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _clusters(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -239,9 +305,10 @@ def _clusters(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
     texts = staged(docs.select(F.col("doc_id").alias("id"), text_of("text").alias("text")).join(ids, "id", "left_semi")
                    .groupBy("id").agg(F.max("text").alias("text")), "minhash-texts")
     cells = staged(_cells(near, ["id"]), "minhash-cells")
-    links = staged(_confirmed(_leaders(cells), texts, width, percent), "minhash-links")
+    best, every = _leaders(cells)
+    links = staged(_confirmed(best, texts, width, percent), "minhash-links")
     labels = components(links)
-    more = staged(_confirmed(_remaining(cells, labels, near, percent), texts, width, percent), "minhash-more")
+    more = staged(_confirmed(_remaining(every, labels, texts, width, percent), texts, width, percent), "minhash-more")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     found = classes.join(labels, "id", "left").select("c1", "c2", F.coalesce("component_id", "id").alias("component_id"))
