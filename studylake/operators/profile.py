@@ -14,7 +14,7 @@ from ..functions import dates as D
 from ..functions.metrics import pct
 from ..functions.text import PROFILE_HIDDEN_NULL_VALUES, WS_RUN, split_literal, strip_ws
 from ..operators.clean import string_columns
-from ..operators.normalize import split_summary, tokens
+from ..operators.normalize import tokens
 
 CATEGORICAL = ["org_class", "responsible_party", "overall_status", "standard_age",
                "primary_purpose", "study_type", "phases"]
@@ -116,25 +116,39 @@ def hidden_literals(df: DataFrame, hidden: list[str] | None = None) -> DataFrame
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _ranked_top(vc: DataFrame, value_col: str, k: int, name: str) -> DataFrame:
-    """Top ``k`` rows of a value-count frame (TakeOrderedAndProject: a
-    per-partition heap, so the result stays bounded whatever the number of
-    distinct values), ranked 1..k."""
-    order = [F.desc("n"), F.asc_nulls_first(value_col)]
-    top = vc.orderBy(*order).limit(k)
-    return top.select(F.lit(name).alias("column_name"), F.col(value_col).alias("value"), "n",
-                      F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"))
+def _elements(df: DataFrame, arrays: dict[str, Column]) -> DataFrame:
+    """(column_name, value) of several columns in one scan: one array of pairs
+    a row, exploded once."""
+    empty = F.array().cast("array<struct<column_name:string,value:string>>")
+
+    def pairs_of(name: str, array: Column) -> Column:
+        pair = lambda v: F.struct(F.lit(name).alias("column_name"), v.cast("string").alias("value"))
+        return F.coalesce(F.transform(array, pair), empty)
+
+    pairs = [pairs_of(c, a) for c, a in arrays.items()]
+    return df.select(F.explode(F.concat(*pairs)).alias("e")).select("e.*")
+
+
+def _value_counts(elements: DataFrame) -> DataFrame:
+    return elements.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ranked_top(counts: DataFrame, k: int) -> DataFrame:
+    """Top ``k`` values of each column, ranked 1..k. The rank filter limits
+    every partition to k rows a column before the shuffle."""
+    order = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc_nulls_first("value"))
+    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+        "column_name", "value", "n", F.col("rank").cast("bigint").alias("rank"))
 
 
 def categories(df: DataFrame, cols: list[str] | None = None, k: int = 20) -> DataFrame:
     """P8 (values): top ``k`` values per column including null, with share
-    of all rows."""
+    of all rows. One scan; the totals come from the same value counts."""
     cols = cols or CATEGORICAL
-    total = df.count()  # one scalar
-    parts = [_ranked_top(df.groupBy(c).agg(F.count(F.lit(1)).alias("n")), c, k, c) for c in cols]
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select("column_name", "value", "n", pct(F.col("n"), F.lit(total), 1).alias("pct"),
-                      "rank")
+    counts = _value_counts(_elements(df, {c: F.array(F.col(c)) for c in cols}))
+    totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
+    out = _ranked_top(counts, k).join(F.broadcast(totals), "column_name")  # one row per column
+    return out.select("column_name", "value", "n", pct(F.col("n"), F.col("total"), 1).alias("pct"), "rank")
 
 
 def category_summary(df: DataFrame, cols: list[str] | None = None, k: int = 20) -> DataFrame:
@@ -208,10 +222,16 @@ def top_years(df: DataFrame, col: str = "start_date", k: int = 10) -> DataFrame:
 
 
 def multi_value(df: DataFrame, cols: dict[str, str | None] | None = None) -> DataFrame:
-    """Non-null rows, values after split, unique values per column."""
+    """Non-null rows, values after split, unique values per column; one scan."""
     cols = cols or MULTI_VALUE
-    parts = [split_summary(df, c, sep, "value") for c, sep in cols.items()]
-    return reduce(DataFrame.unionByName, parts)
+    # a null in front of each non-null row's tokens stands for the row itself
+    arrays = {c: F.when(F.col(c).isNotNull(), F.concat(F.array(F.lit(None).cast("string")), tokens(c, sep)))
+              for c, sep in cols.items()}
+    counts = _value_counts(_elements(df, arrays))
+    value = F.col("value").isNotNull()
+    return counts.groupBy("column_name").agg(
+        F.sum(F.when(~value, F.col("n")).otherwise(0)).alias("input_rows"),
+        F.sum(F.when(value, F.col("n")).otherwise(0)).alias("values"), F.count_if(value).alias("unique_values"))
 
 
 def _raw_parts(c: str, sep: str | None) -> Column:
@@ -259,12 +279,7 @@ def multi_value_top(df: DataFrame, cols: dict[str, str | None] | None = None, k:
                     ) -> DataFrame:
     """Most common values per multi-value column."""
     cols = cols or MULTI_VALUE
-    parts = []
-    for c, sep in cols.items():
-        vc = (df.select(F.explode(tokens(c, sep)).alias("value")).groupBy("value")
-              .agg(F.count(F.lit(1)).alias("n")))
-        parts.append(_ranked_top(vc, "value", k, c))
-    return reduce(DataFrame.unionByName, parts)
+    return _ranked_top(_value_counts(_elements(df, {c: tokens(c, sep) for c, sep in cols.items()})), k)
 
 
 def text_lengths(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -312,14 +327,13 @@ def uniques(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Unique counts for schema sizing. Split values are stripped but
     empty tokens count as a value; ``approximate`` switches to HyperLogLog
     sketches for very large inputs."""
-    cd = F.approx_count_distinct if approximate else F.countDistinct
-    metrics = {}
-    for c in ("conditions", "interventions", "mesh"):
-        metrics[f"unique_{c}"] = df.select(
-            F.explode(F.transform(split_literal(c, ","), lambda x: strip_ws(x))).alias("v")
-        ).agg(cd("v").alias("n"))
-    base = df.agg(cd("org_name").alias("unique_org_name"),
-                  *[cd(c).alias(f"unique_{c}") for c in CATEGORICAL])
-    rows = base.unpivot([], base.columns, "metric", "n")
-    parts = [rows] + [m.select(F.lit(k).alias("metric"), "n") for k, m in metrics.items()]
-    return reduce(DataFrame.unionByName, parts).select("metric", F.col("n").cast("bigint").alias("n"))
+    arrays = {f"unique_{c}": F.array(F.col(c)) for c in ("org_name", *CATEGORICAL)}
+    arrays |= {f"unique_{c}": F.transform(split_literal(c, ","), lambda x: strip_ws(x))
+               for c in ("conditions", "interventions", "mesh")}
+    found = _elements(df, arrays).withColumnRenamed("column_name", "metric")
+    if approximate:
+        n = found.groupBy("metric").agg(F.approx_count_distinct("value").alias("n"))
+    else:
+        n = found.distinct().groupBy("metric").agg(F.count("value").alias("n"))
+    every = df.sparkSession.createDataFrame([(m,) for m in arrays], "metric string")
+    return every.join(n, "metric", "left").select("metric", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
