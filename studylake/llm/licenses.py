@@ -135,6 +135,10 @@ def _votes(words: Column, rare: list[str]) -> Column:
     return F.when(F.size(present) > 0, F.aggregate(cast, zero, step, closed)).otherwise(F.array().cast(_VOTE))
 
 
+def _of(template: int):
+    return lambda vote: vote["t"] == template
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: word count, places and labels of licenses, score."""
     total, counts = document_counts(docs)
@@ -157,7 +161,7 @@ def scan(docs: DataFrame) -> DataFrame:
     verified, scores = [], [F.lit(0.0)]
     for t, (label, _, phrases) in enumerate(TEMPLATES):
         # only a text with an agreement is searched for key phrases
-        most = F.array_max(F.transform(F.filter("votes", lambda v, t=t: v["t"] == t), lambda v: v["n"]))
+        most = F.array_max(F.transform(F.filter("votes", _of(t)), lambda v: v["n"]))
         holds = most.isNotNull()
         for phrase in phrases:
             holds = F.when(holds, _contains(pad, phrase)).otherwise(False)
