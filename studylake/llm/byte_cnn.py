@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studylake.llm.common import text_of
+from studylake.llm.common import first_by, text_of
 
 CHUNK, OVERLAP = 512, 64
 FILTERS, WIDTH = 12, 6
@@ -180,7 +180,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (_fold(F.col("doc_id")) != HELD_OUT))
     rows = rows.groupBy("doc_id").agg(F.min(label).alias("y")).select("doc_id", "y", order.alias("o"))
     # bounded by MAX_PER_CLASS rows for each class, hence broadcast
-    own = [rows.filter(F.col("y") == y).orderBy("o", "doc_id").limit(MAX_PER_CLASS) for y in (0, 1)]
+    own = [first_by(rows.filter(F.col("y") == y), "o", MAX_PER_CLASS, "doc_id") for y in (0, 1)]
     chosen = F.broadcast(own[0].unionByName(own[1]).select(F.col("doc_id").alias("chosen"), "y", "o"))
 
     @F.pandas_udf("array<binary>")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from studylake.llm import lstm_crf as N
-from studylake.llm.common import text_of
+from studylake.llm.common import first_by, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Labels: outside, then beginning and inside of each kind.
@@ -176,13 +176,12 @@ def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame) -> N.Params:
-    """Train on at most MAX_DOCS texts that hold a digit or an @, first by a
-    seeded hash, and of each the surroundings of its first matches at most."""
+    """Train on excerpts around the first digit or @ of at most MAX_DOCS texts
+    that hold one, the first by a seeded hash."""
     trigger = docs.select("doc_id", text_of("text").alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    # a bounded excerpt around a seeded place that has a digit or an @
     order = F.xxhash64(F.lit(SEED), "doc_id", "text")
     ids = trigger.select(order.alias("o"), F.regexp_extract("text", r"(?s)(.{0,120}[0-9@].{0,160})", 1).alias("part"))
-    rows = ids.orderBy("o", "part").limit(MAX_DOCS).collect()
+    rows = first_by(ids, "o", MAX_DOCS, "part").collect()
     x, y = training_windows([r["part"] for r in rows])
     p = N.train(x, y, N_LABELS, EPOCHS)
     return {k: v.astype(np.float32) for k, v in p.items()}
