@@ -37,6 +37,12 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` refers to
+    it inside another function of each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def first_by(df: DataFrame, order: str, n: int, *ties: str) -> DataFrame:
     """The first ``n`` rows (100 or more) by an ``xxhash64`` column. The hash is
     cut at a bound that about 2n rows of the counted table pass, so neither the

@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studylake.llm.common import lower_ascii, text_of
+from studylake.llm.common import let, lower_ascii, text_of
 
 # Base phrases and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -113,11 +113,13 @@ def _votes(words: Column, rare: list[str]) -> Column:
     index = F.create_map(*[x for w in rare for x in (F.lit(w), F.array(*[pair(t, p) for t, p in postings[w]]))])
     needed = F.array(*[F.lit(n) for n in need])
 
-    present = F.array_intersect(_strings(rare), words)  # keeps the order of the first: rarest first
-    chosen = F.slice(present, 1, LOOKED_UP)
-    places = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(chosen, x["w"]))
-    cast = F.array_sort(F.flatten(F.transform(places, lambda x: F.transform(
-        index[x["w"]], lambda q: F.struct(q["t"].alias("t"), (x["i"] - q["p"]).alias("off"), x["w"].alias("w"))))))
+    def cast(chosen: Column) -> Column:
+        """All votes of the places of the chosen words, sorted."""
+        places = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+                          lambda x: F.array_contains(chosen, x["w"]))
+        return F.array_sort(F.flatten(F.transform(places, lambda x: F.transform(
+            index[x["w"]], lambda q: F.struct(q["t"].alias("t"), (x["i"] - q["p"]).alias("off"), x["w"].alias("w"))))))
+
     zero = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("off"), F.lit("").alias("w"), F.lit(0).alias("n"),
                     F.array().cast(_VOTE).alias("out"))
 
@@ -132,7 +134,10 @@ def _votes(words: Column, rare: list[str]) -> Column:
         return F.struct(x["t"].alias("t"), x["off"].alias("off"), x["w"].alias("w"), n.alias("n"),
                         F.when(same, acc["out"]).otherwise(closed(acc)).alias("out"))
 
-    return F.when(F.size(present) > 0, F.aggregate(cast, zero, step, closed)).otherwise(F.array().cast(_VOTE))
+    # the intersection keeps the order of its first list: rarest first
+    found = F.array_intersect(_strings(rare), words)
+    return let(F.slice(found, 1, LOOKED_UP), lambda chosen: F.when(
+        F.size(chosen) > 0, F.aggregate(cast(chosen), zero, step, closed)).otherwise(F.array().cast(_VOTE)))
 
 
 def _of(template: int):

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studylake.llm.common import fresh, staged, text_of
+from studylake.llm.common import fresh, let, staged, text_of
 
 # Fixed values of the base patterns.
 ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""")
@@ -98,11 +98,6 @@ def _tail(z: Column) -> Column:
     return (z * z / 2.0 + 0.9189385332046727 - F.log(poly)) / 2.302585092994046
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _tested(span: Column) -> Column:
     """The span with the cell of -log10 p, 0 where randomness does not hold, and its length class."""
     t = span["text"]
@@ -115,7 +110,7 @@ def _tested(span: Column) -> Column:
     # a run of one kind of symbol (all digits, all letters) is an ordinary number or word
     mixed = t.rlike("[0-9]") & t.rlike("[A-Za-z]") & (digits >= F.floor(F.length(t) / 16))
     # every value that an inner function uses is bound first, so that it is computed once
-    facts = _let(F.get(known, which), lambda e: F.struct(
+    facts = let(F.get(known, which), lambda e: F.struct(
         F.when(e["fold"], F.lower(t)).otherwise(t).alias("text"), F.length(t).cast("double").alias("n"), e.alias("e")))
 
     def evenness(b: Column) -> Column:
@@ -128,13 +123,13 @@ def _tested(span: Column) -> Column:
             chi = squares * k / n - n
             # of word-like symbols: non-central, mean k - 1 + n d, variance 2 (k - 1 + 2 n d)
             even = (chi - (k - 1 + n * e["skew"])) / F.sqrt(2 * (k - 1 + 2 * n * e["skew"]))
-            holds = _let(F.transform(chars, lambda c: F.instr(e["symbols"], c).cast("double")), lambda value: _let(
+            holds = let(F.transform(chars, lambda c: F.instr(e["symbols"], c).cast("double")), lambda value: let(
                 F.aggregate(value, F.lit(0.0), lambda a, v: a + v) / n, lambda mean: _steady(value, mean, n)))
-            return F.when((F.size(F.array_distinct(chars)) >= 6) & holds, _let(even, _tail)).otherwise(F.lit(0.0))
+            return F.when((F.size(F.array_distinct(chars)) >= 6) & holds, let(even, _tail)).otherwise(F.lit(0.0))
 
-        return _let(F.split(b["text"], ""), of)
+        return let(F.split(b["text"], ""), of)
 
-    p = F.when(mixed, _let(facts, evenness)).otherwise(F.lit(0.0))
+    p = F.when(mixed, let(facts, evenness)).otherwise(F.lit(0.0))
     return F.struct(span["start"].alias("start"), span["stop"].alias("stop"),
                     F.least(F.floor(p / STEP), F.lit(CELLS - 1)).cast("int").alias("cell"),
                     F.least(F.floor(F.log2(F.length(t) / MIN_RUN)), F.lit(5)).cast("int").alias("class"))
