@@ -37,7 +37,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
         p[0] = _U(1)
         np.multiply.accumulate(p, out=p)
         out.append(p)
-    if n <= 4 * BLOCK_BYTES:
+    if n <= 2 * BLOCK_BYTES:
         _powers[:] = out
     return out[0], out[1]
 
