@@ -1,12 +1,12 @@
 """License scans by a positional rare-token index, with DataFrame functions only.
 
 Templates of license notices are indexed by word and position. All documents
-give the document counts of the license words. Each document is looked up by
-its rarest license words: every place of such a word in the text and every
-posting of it in a template vote for the offset between the two. A template is
-a candidate where enough different rare words agree on one offset, and is
-reported when its mandatory key phrases are in the text as well. Base phrases
-are found besides, wherever their words stand consecutively.
+give the document counts of the license words. A template is a candidate where
+its mandatory key phrases are in the text. Then every place of its rare words
+in the text and every posting of them in it vote for the offset between the
+two, and it is reported where enough different words agree on one offset,
+however many other notices or license words the text holds. Base phrases are
+found besides, wherever their words stand consecutively.
 
 All the work on a text happens in its own row, so no word, however frequent,
 gathers anything; the only exchange counts the license words.
@@ -58,14 +58,13 @@ TEMPLATES = (
 
 #: A license word is rare where less than this part of the documents has it.
 RARE = 0.2
-#: A document is looked up by so many of its rarest license words.
-LOOKED_UP = 12
-#: Part of a template's rare words that must agree on an offset, two at least.
-AGREE = 0.5
+#: Part of a template's rare words that must agree on an offset, two at least;
+#: of more than so many rare words, the part of this number.
+AGREE, COUNTED = 0.5, 12
 
 _WORDS = [t.split() for _, t, _ in TEMPLATES]
 VOCABULARY = sorted({w for ws in _WORDS for w in ws})
-_VOTE = "array<struct<t:int,off:int,n:int>>"
+_VOTE = "array<struct<t:int,n:int>>"
 
 
 def normal(text: Column) -> Column:
@@ -99,45 +98,61 @@ def rare_words(total: int, counts: dict[str, int]) -> list[str]:
     return sorted((w for w in VOCABULARY if idf[w] >= -math.log(RARE) or total < 20), key=lambda w: (-idf[w], w))
 
 
-def _votes(words: Column, rare: list[str]) -> Column:
-    """(template, offset, different words that agree) of each agreement that is large enough."""
+def _candidates(pad: Column, found: Column) -> Column:
+    """Numbers of the templates whose key phrases are all in the text; only
+    a text with all words of the phrases is searched for them."""
+    held = []
+    for t, (_, _, phrases) in enumerate(TEMPLATES):
+        words = sorted({w for p in phrases for w in p.split()})
+        has = F.size(F.array_except(_strings(words), found)) == 0
+        for phrase in phrases:
+            has = F.when(has, _contains(pad, phrase)).otherwise(False)
+        held.append(F.when(has, F.lit(t)))
+    return F.array_compact(F.array(*held))
+
+
+def _votes(words: Column, candidates: Column, rare: list[str]) -> Column:
+    """(template, most different words that agree on an offset) of each
+    candidate with an agreement that is large enough."""
     postings: dict[str, list[tuple[int, int]]] = {w: [] for w in rare}
-    own = [0] * len(TEMPLATES)
+    own = [sorted(set(ws) & set(rare)) for ws in _WORDS]
     for t, ws in enumerate(_WORDS):
-        own[t] = len(set(ws) & set(rare))
         for p, w in enumerate(ws):
             if w in postings:
                 postings[w].append((t, p))
-    need = [max(2, math.ceil(AGREE * min(n, LOOKED_UP))) if n > 1 else 1 for n in own]
+    need = [max(2, math.ceil(AGREE * min(len(ws), COUNTED))) if len(ws) > 1 else 1 for ws in own]
     pair = lambda t, p: F.struct(F.lit(t).alias("t"), F.lit(p).alias("p"))
     index = F.create_map(*[x for w in rare for x in (F.lit(w), F.array(*[pair(t, p) for t, p in postings[w]]))])
     needed = F.array(*[F.lit(n) for n in need])
+    of_template = F.array(*[_strings(ws) if ws else F.array().cast("array<string>") for ws in own])
 
     def cast(chosen: Column) -> Column:
-        """All votes of the places of the chosen words, sorted."""
+        """All votes of the places of the chosen words for candidates, sorted."""
         places = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
                           lambda x: F.array_contains(chosen, x["w"]))
-        return F.array_sort(F.flatten(F.transform(places, lambda x: F.transform(
-            index[x["w"]], lambda q: F.struct(q["t"].alias("t"), (x["i"] - q["p"]).alias("off"), x["w"].alias("w"))))))
+        return F.sort_array(F.flatten(F.transform(places, lambda x: F.transform(
+            F.filter(index[x["w"]], lambda q: F.array_contains(candidates, q["t"])),
+            lambda q: F.struct(q["t"].alias("t"), (x["i"] - q["p"]).alias("off"), x["w"].alias("w"))))))
 
     zero = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("off"), F.lit("").alias("w"), F.lit(0).alias("n"),
-                    F.array().cast(_VOTE).alias("out"))
+                    F.lit(0).alias("most"), F.array().cast(_VOTE).alias("out"))
 
     def closed(acc: Column) -> Column:
-        run = F.struct(acc["t"].alias("t"), acc["off"].alias("off"), acc["n"].alias("n"))
-        enough = (acc["t"] >= 0) & (acc["n"] >= F.get(needed, acc["t"]))
+        run = F.struct(acc["t"].alias("t"), acc["most"].alias("n"))
+        enough = (acc["t"] >= 0) & (acc["most"] >= F.get(needed, acc["t"]))
         return F.when(enough, F.concat(acc["out"], F.array(run))).otherwise(acc["out"])
 
     def step(acc: Column, x: Column) -> Column:
-        same = (x["t"] == acc["t"]) & (x["off"] == acc["off"])
+        ours = x["t"] == acc["t"]
+        same = ours & (x["off"] == acc["off"])
         n = F.when(same, acc["n"] + (x["w"] != acc["w"]).cast("int")).otherwise(1)
         return F.struct(x["t"].alias("t"), x["off"].alias("off"), x["w"].alias("w"), n.alias("n"),
-                        F.when(same, acc["out"]).otherwise(closed(acc)).alias("out"))
+                        F.when(ours, F.greatest(acc["most"], n)).otherwise(n).alias("most"),
+                        F.when(ours, acc["out"]).otherwise(closed(acc)).alias("out"))
 
-    # the intersection keeps the order of its first list: rarest first
-    found = F.array_intersect(_strings(rare), words)
-    return let(F.slice(found, 1, LOOKED_UP), lambda chosen: F.when(
-        F.size(chosen) > 0, F.aggregate(cast(chosen), zero, step, closed)).otherwise(F.array().cast(_VOTE)))
+    chosen = F.array_distinct(F.flatten(F.transform(candidates, lambda t: F.get(of_template, t))))
+    return F.when(F.size(candidates) > 0, let(chosen, lambda c: F.aggregate(cast(c), zero, step, closed))).otherwise(
+        F.array().cast(_VOTE))
 
 
 def _of(template: int):
@@ -148,11 +163,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: word count, places and labels of licenses, score."""
     total, counts = document_counts(docs)
     rare = rare_words(total, counts)
-    own = [max(1, min(LOOKED_UP, len(set(ws) & set(rare)))) for ws in _WORDS]
+    own = [max(1, min(COUNTED, len(set(ws) & set(rare)))) for ws in _WORDS]
 
     rows = docs.select("doc_id", normal(text_of("text")).alias("norm"))
     rows = rows.select("doc_id", "norm", F.concat(F.lit(" "), "norm", F.lit(" ")).alias("pad"))
-    rows = rows.withColumn("votes", _votes(F.split("norm", " "), rare) if rare else F.array().cast(_VOTE))
+    rows = rows.withColumn("held", let(F.array_intersect(_strings(VOCABULARY), F.split("norm", " ")),
+                                       lambda found: _candidates(F.col("pad"), found)))
+    rows = rows.withColumn("votes", _votes(F.split("norm", " "), F.col("held"), rare) if rare else F.array().cast(_VOTE))
     pad, norm = F.col("pad"), F.col("norm")
     n_words = F.when(norm == "", F.lit(0)).otherwise(_spaces(norm) + 1).cast("long")
 
@@ -164,14 +181,10 @@ def scan(docs: DataFrame) -> DataFrame:
         lasts.append(F.when(has, n_words - len(phrase.split()) - _spaces(F.substring_index(pad, f" {phrase} ", -1))))
         base.append(F.when(has, F.lit(label)))
     verified, scores = [], [F.lit(0.0)]
-    for t, (label, _, phrases) in enumerate(TEMPLATES):
-        # only a text with an agreement is searched for key phrases
+    for t, (label, _, _) in enumerate(TEMPLATES):
         most = F.array_max(F.transform(F.filter("votes", _of(t)), lambda v: v["n"]))
-        holds = most.isNotNull()
-        for phrase in phrases:
-            holds = F.when(holds, _contains(pad, phrase)).otherwise(False)
-        verified.append(F.when(holds, F.lit(label)))
-        scores.append(F.when(holds, F.least(most / own[t], F.lit(1.0))))
+        verified.append(F.when(most.isNotNull(), F.lit(label)))
+        scores.append(F.least(most / own[t], F.lit(1.0)))
     joined = lambda cs: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*cs)))), ",")
     any_votes = F.size("votes") > 0
     some = F.coalesce(*base).isNotNull()

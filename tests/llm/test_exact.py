@@ -155,6 +155,22 @@ def test_licenses_of_the_method(spark, docs):
     assert got[9003]["labels"] == "" and got[9003]["score"] == 0
 
 
+def notice(label, at=0):
+    return [t for x, t, _ in licenses.TEMPLATES if x == label][at]
+
+
+def test_licenses_of_files_with_several_notices(spark):
+    fill = " ".join(f"word{i}" for i in range(300))
+    every = " ".join(licenses.VOCABULARY)
+    files = [("mit", "bsd"), ("mit", "isc"), ("mit", "bsd", "isc"), ("gpl", "mit", "bsd", "isc", "unlicense", "cc0")]
+    rows = [(i, f" {fill} ".join(notice(x) for x in labels)) for i, labels in enumerate(files)]
+    rows += [(10, f"{every} {fill} {notice('proprietary')} {fill}"), (11, f"{every} {fill} {notice('isc')}"), (12, every)]
+    rows += [(100 + i, f"{fill} {i}") for i in range(200)]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(files))] == [",".join(sorted(x)) for x in files]
+    assert (got[10], got[11], got[12]) == ("proprietary", "isc", "") and all(got[i] == "" for i in range(100, 300))
+
+
 def test_secrets(spark, docs, texts):
     rng = random.Random(1)
     alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
