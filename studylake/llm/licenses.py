@@ -2,11 +2,13 @@
 
 Templates of license notices are indexed by word and position. All documents
 give the document counts of the license words. A template is a candidate where
-its mandatory key phrases are in the text. Then every place of its rare words
-in the text and every posting of them in it vote for the offset between the
-two, and it is reported where enough different words agree on one offset,
-however many other notices or license words the text holds. Base phrases are
-found besides, wherever their words stand consecutively.
+its mandatory key phrases are in the text. Then every place of its words in the
+text and every posting of them in it vote for the offset between the two, and
+it is reported where enough different words agree on one offset, however many
+other notices or license words the text holds. How many are enough follows from
+the number of its rare words; frequent words vote as well, so a notice that
+stands in many documents is found like any other. Base phrases are found
+besides, wherever their words stand consecutively.
 
 All the work on a text happens in its own row, so no word, however frequent,
 gathers anything; the only exchange counts the license words.
@@ -56,7 +58,7 @@ TEMPLATES = (
     ("proprietary", "all rights reserved", ("all rights reserved",)),
 )
 
-#: A license word is rare where less than this part of the documents has it.
+#: A license word is rare where at most this part of the documents has it.
 RARE = 0.2
 #: Part of a template's rare words that must agree on an offset, two at least;
 #: of more than so many rare words, the part of this number.
@@ -95,7 +97,7 @@ def document_counts(docs: DataFrame) -> tuple[int, dict[str, int]]:
 def rare_words(total: int, counts: dict[str, int]) -> list[str]:
     """License words by falling inverse document frequency, frequent ones left out."""
     idf = {w: math.log((total + 1) / (counts.get(w, 0) + 1)) for w in VOCABULARY}
-    return sorted((w for w in VOCABULARY if idf[w] >= -math.log(RARE) or total < 20), key=lambda w: (-idf[w], w))
+    return sorted((w for w in VOCABULARY if idf[w] >= -math.log(RARE)), key=lambda w: (-idf[w], w))
 
 
 def _candidates(pad: Column, found: Column) -> Column:
@@ -114,17 +116,16 @@ def _candidates(pad: Column, found: Column) -> Column:
 def _votes(words: Column, candidates: Column, rare: list[str]) -> Column:
     """(template, most different words that agree on an offset) of each
     candidate with an agreement that is large enough."""
-    postings: dict[str, list[tuple[int, int]]] = {w: [] for w in rare}
-    own = [sorted(set(ws) & set(rare)) for ws in _WORDS]
+    postings: dict[str, list[tuple[int, int]]] = {w: [] for w in VOCABULARY}
     for t, ws in enumerate(_WORDS):
         for p, w in enumerate(ws):
-            if w in postings:
-                postings[w].append((t, p))
-    need = [max(2, math.ceil(AGREE * min(len(ws), COUNTED))) if len(ws) > 1 else 1 for ws in own]
+            postings[w].append((t, p))
+    # a key phrase in the text is an agreement of two words at least
+    need = [max(2, math.ceil(AGREE * min(len(set(ws) & set(rare)), COUNTED))) for ws in _WORDS]
     pair = lambda t, p: F.struct(F.lit(t).alias("t"), F.lit(p).alias("p"))
-    index = F.create_map(*[x for w in rare for x in (F.lit(w), F.array(*[pair(t, p) for t, p in postings[w]]))])
+    index = F.create_map(*[x for w in VOCABULARY for x in (F.lit(w), F.array(*[pair(t, p) for t, p in postings[w]]))])
     needed = F.array(*[F.lit(n) for n in need])
-    of_template = F.array(*[_strings(ws) if ws else F.array().cast("array<string>") for ws in own])
+    of_template = F.array(*[_strings(sorted(set(ws))) for ws in _WORDS])
 
     def cast(chosen: Column) -> Column:
         """All votes of the places of the chosen words for candidates, sorted."""
@@ -163,13 +164,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: word count, places and labels of licenses, score."""
     total, counts = document_counts(docs)
     rare = rare_words(total, counts)
-    own = [max(1, min(COUNTED, len(set(ws) & set(rare)))) for ws in _WORDS]
+    own = [len(set(ws)) for ws in _WORDS]
 
     rows = docs.select("doc_id", normal(text_of("text")).alias("norm"))
     rows = rows.select("doc_id", "norm", F.concat(F.lit(" "), "norm", F.lit(" ")).alias("pad"))
     rows = rows.withColumn("held", let(F.array_intersect(_strings(VOCABULARY), F.split("norm", " ")),
                                        lambda found: _candidates(F.col("pad"), found)))
-    rows = rows.withColumn("votes", _votes(F.split("norm", " "), F.col("held"), rare) if rare else F.array().cast(_VOTE))
+    rows = rows.withColumn("votes", _votes(F.split("norm", " "), F.col("held"), rare))
     pad, norm = F.col("pad"), F.col("norm")
     n_words = F.when(norm == "", F.lit(0)).otherwise(_spaces(norm) + 1).cast("long")
 
@@ -184,7 +185,7 @@ def scan(docs: DataFrame) -> DataFrame:
     for t, (label, _, _) in enumerate(TEMPLATES):
         most = F.array_max(F.transform(F.filter("votes", _of(t)), lambda v: v["n"]))
         verified.append(F.when(most.isNotNull(), F.lit(label)))
-        scores.append(F.least(most / own[t], F.lit(1.0)))
+        scores.append(most / own[t])
     joined = lambda cs: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*cs)))), ",")
     any_votes = F.size("votes") > 0
     some = F.coalesce(*base).isNotNull()

@@ -171,6 +171,17 @@ def test_licenses_of_files_with_several_notices(spark):
     assert (got[10], got[11], got[12]) == ("proprietary", "isc", "") and all(got[i] == "" for i in range(100, 300))
 
 
+@pytest.mark.parametrize("n", [19, 20, 300])
+def test_licenses_of_a_notice_in_a_third_of_the_rows(spark, n):
+    hot = notice("gpl")
+    rows = [(i, f"file {i} {hot} end" if i % 3 == 0 else f"prose of {i} and the rest of it") for i in range(n)]
+    rows += [(1000, notice("lgpl")), (1001, notice("agpl-3")), (1002, "the terms of the general public and free software")]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i]["labels"] for i in range(n)] == ["gpl" if i % 3 == 0 else "" for i in range(n)]
+    assert all(got[i]["score"] == 1.0 for i in range(0, n, 3))
+    assert [got[i]["labels"] for i in (1000, 1001, 1002)] == ["lgpl", "agpl-3", ""]
+
+
 def test_secrets(spark, docs, texts):
     rng = random.Random(1)
     alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
