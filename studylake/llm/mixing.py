@@ -5,7 +5,10 @@ least its own size is taken whole once (or twice); what is left of the target
 is a budget smaller than the source. Each length gives its proportional share
 of documents to that budget, rounded down; longest lengths that still fit then
 fill it up to a bounded rest, and a bounded-knapsack dynamic programme over the
-remaining counts fits the rest exactly or as near below as it can be. Documents
+remaining counts fits the rest. Where that misses the budget, as with few texts
+as long as books, a larger programme chooses among long documents as well, after
+the shares and without them, and the nearest fit counts. It is exact for budgets
+up to EXACT words and over rounded lengths above. Documents
 are then selected by length count, in the order of a seeded hash, so reruns
 agree. Counts are salted by the same hash: a hot source and length never meet
 in one task.
@@ -28,8 +31,10 @@ from studylake.llm.common import SPACE_CLASS, fresh, staged, text_of
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
 SEED = 20240229
-#: The dynamic programme's budget, in words.
-KNAPSACK = 1 << 16
+#: The dynamic programme's budget, in words: at first, and where that leaves a rest.
+KNAPSACK, EXACT = 1 << 16, 1 << 22
+#: In the second, at least so many of the longest documents have room.
+LONGEST = 16
 ROWS_PER_SALT, MIN_SALTS = 100_000, 256
 
 
@@ -53,46 +58,84 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WEIG
     return out
 
 
-def fit(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
-    """How many documents of each length (ascending, above 0) come to at most
-    the budget in words, and as near to it as can be."""
-    total = int((lengths * counts).sum())
-    budget = int(min(budget, total))
-    if budget <= 0:
-        return np.zeros(len(counts), np.int64)
-    take = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
-    rest = budget - int((lengths * take).sum())
+def _greedy(lengths: np.ndarray, left: np.ndarray, rest: int, stop: int) -> np.ndarray:
+    """The longest documents that still fit, until at most ``stop`` words are left."""
+    more = np.zeros(len(left), np.int64)
     for i in range(len(lengths) - 1, -1, -1):
-        if rest <= KNAPSACK:
+        if rest <= stop:
             break
-        more = min((rest - KNAPSACK) // int(lengths[i]), int(counts[i] - take[i]))
-        take[i] += more
-        rest -= more * int(lengths[i])
-    # bounded knapsack: first[s] is the item by which the sum s is first reached
-    rest_cells = min(rest, KNAPSACK)
-    first = np.full(rest_cells + 1, -1, np.int64)
-    first[0] = 0
+        more[i] = min((rest - stop) // int(lengths[i]), int(left[i]))
+        rest -= int(more[i] * lengths[i])
+    return more
+
+
+def _knapsack(lengths: np.ndarray, left: np.ndarray, rest: int, cells: int) -> np.ndarray:
+    """Bounded knapsack for ``rest`` words: exact where they are at most
+    ``cells``, else over lengths rounded up to a coarser unit."""
+    unit = max(1, -(-rest // cells))
+    sizes, end = -(-lengths // unit), rest // unit
+    more = np.zeros(len(left), np.int64)
+    # first[s] is the item by which the sum s is first reached
+    first = np.full(end + 1, -1, np.int32)
+    first[0], high = 0, 0
     items: list[tuple[int, int, int]] = [(0, 0, 0)]
     for i in range(len(lengths) - 1, -1, -1):
-        left, size = int(counts[i] - take[i]), int(lengths[i])
-        left = min(left, rest_cells // size)
-        part = 1
-        while left > 0 and first[rest_cells] < 0:
-            part = min(part, left)
+        size = int(sizes[i])
+        many, part = min(int(left[i]), end // size), 1
+        while many > 0 and first[end] < 0:
+            part = min(part, many)
             step = part * size
-            new = np.flatnonzero((first[step:] < 0) & (first[: rest_cells + 1 - step] >= 0)) + step
-            first[new] = len(items)
-            items.append((i, part, step))
-            left -= part
+            high = min(high + step, end)  # no sum lies above
+            if high >= step:
+                new = np.flatnonzero((first[step:high + 1] < 0) & (first[:high + 1 - step] >= 0)) + step
+                first[new] = len(items)
+                items.append((i, part, step))
+            many -= part
             part *= 2
-        if first[rest_cells] >= 0:
+        if first[end] >= 0:
             break
     at = int(np.flatnonzero(first >= 0)[-1])
     while at:
         i, part, step = items[first[at]]
-        take[i] += part
+        more[i] += part
         at -= step
-    return take
+    return more
+
+
+def fit(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
+    """How many documents of each length (ascending, above 0) come to at most
+    the budget in words, and as near to it as can be: exactly where the budget
+    is at most EXACT times the lengths' common divisor, or where the shares and
+    the longest documents leave a rest that can be met to the word. Else it is
+    the nearest of three fits that leave no length out."""
+    total = int((lengths * counts).sum())
+    budget = int(min(budget, total))
+    if budget <= 0:
+        return np.zeros(len(counts), np.int64)
+    shares = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
+    common = int(np.gcd.reduce(lengths))
+    lengths, budget = lengths // common, budget // common
+
+    def rest(take: np.ndarray) -> int:
+        return budget - int((lengths * take).sum())
+
+    def small(take: np.ndarray) -> np.ndarray:
+        take = take + _greedy(lengths, counts - take, rest(take), KNAPSACK)
+        return take + _knapsack(lengths, counts - take, min(rest(take), KNAPSACK), KNAPSACK)
+
+    def wide(take: np.ndarray) -> np.ndarray:
+        # long documents must be free to be exchanged for each other
+        if rest(take) > EXACT:
+            take = take + _greedy(lengths, counts - take, rest(take), max(EXACT // 2, LONGEST * int(lengths[-1])))
+        take = take + _knapsack(lengths, counts - take, rest(take), EXACT)
+        return small(take) if rest(take) else take
+
+    best = small(shares)
+    for start in (shares, np.zeros(len(counts), np.int64)):
+        if rest(best):
+            other = wide(start)
+            best = other if rest(other) < rest(best) else best
+    return best
 
 
 def _plan(group: pd.DataFrame) -> pd.DataFrame:

@@ -133,6 +133,35 @@ def test_knapsack_is_exact_when_it_can_be():
             assert budget - (lengths * take).sum() <= 1
 
 
+def test_knapsack_of_few_long_texts():
+    five = np.array([78_000, 79_000, 80_000, 81_000, 82_000])
+    rng = np.random.default_rng(4)
+    cases = [(five, 200_000), (five, 300_000), (np.array([3, 5]).repeat(2), 10)]
+    cases += [(np.sort(rng.integers(60_000, 400_000, 9)), int(rng.integers(50_000, 2_500_000))) for _ in range(25)]
+    for each, budget in cases:
+        sums = np.array([0])
+        for n in each:
+            sums = np.concatenate([sums, sums + n])
+        lengths, counts = np.unique(each, return_counts=True)
+        take = mixing.fit(lengths, counts, budget)
+        assert (take >= 0).all() and (take <= counts).all()
+        assert (lengths * take).sum() == sums[sums <= budget].max()
+
+
+def test_knapsack_of_texts_beyond_its_cells():
+    rng = np.random.default_rng(6)
+    for most in (9_000_000, 3_000_000_000):  # over rounded lengths: near, though not to the word
+        each = np.sort(rng.integers(most // 2, most, 8))
+        sums = np.array([0])
+        for n in each:
+            sums = np.concatenate([sums, sums + n])
+        for budget in (int(1.2 * most), int(2.7 * most)):
+            taken = int((each * mixing.fit(each, np.ones(8, np.int64), budget)).sum())
+            assert 0 <= sums[sums <= budget].max() - taken <= 1e-4 * budget
+    many = np.unique(rng.integers(60_000, 100_000, 3000))
+    assert int((many * mixing.fit(many, np.ones(len(many), np.int64), 120_000_000)).sum()) == 120_000_000
+
+
 def test_licenses_base(docs, texts):
     for r in licenses.scan(docs).collect():
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(texts[r["doc_id"]]))
