@@ -24,6 +24,8 @@ from studylake.llm import words as W
 from studylake.llm.common import fresh
 
 WINDOW = 5
+#: The variety rule's share of distinct words is taken in spans of so many words.
+SPAN = 2000
 #: Bounds on a rule's rates: bad votes on good documents at most, on bad ones at least.
 MAX_FALSE_BLAME, MIN_FOUND = 0.002, 0.05
 RULES = ("length", "symbols", "repeats", "lines", "capitals", "shouting", "word_length", "variety")
@@ -67,6 +69,22 @@ def _repeated(block: W.Block) -> np.ndarray:
     return np.bincount(block.doc[inside], minlength=block.n_docs)
 
 
+def _variety(block: W.Block) -> np.ndarray:
+    """Share of distinct words in spans of SPAN words, mean over a text's spans;
+    the last one ends with the text, and a shorter text is one span."""
+    n = block.n_words
+    at = np.arange(len(block.doc)) - (np.cumsum(n) - n)[block.doc]
+    own, whole = n[block.doc], (n // SPAN)[block.doc]
+    aligned = (own < SPAN) | (at < whole * SPAN)
+    last = (own > SPAN) & (own % SPAN > 0) & (at >= own - SPAN)
+    doc = np.concatenate([block.doc[aligned], block.doc[last]])
+    span = np.concatenate([at[aligned] // SPAN, whole[last]]).astype(np.uint64)
+    word = np.concatenate([block.hashes[aligned], block.hashes[last]])
+    kinds = np.unique(word ^ W.mix((doc.astype(np.uint64) << np.uint64(32)) + span + np.uint64(7)), return_index=True)[1]
+    distinct = np.bincount(doc[kinds], minlength=block.n_docs)
+    return distinct / np.maximum(np.where(n < SPAN, n, -(-n // SPAN) * SPAN), 1)
+
+
 def _lines(text: str) -> tuple[int, int]:
     """Lines with a word, and those equal to an earlier one."""
     found = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
@@ -89,8 +107,7 @@ def measure(texts: pd.Series) -> pd.DataFrame:
         letters, upper, shouts = (_per_doc(block, t) for t in (_LETTER, _UPPER, _SHOUT))
         repeats = _repeated(block)
         lines = np.array([_lines(t) for t in own], np.int64).reshape(-1, 2)
-        kinds = np.unique(block.hashes ^ W.mix(block.doc.astype(np.uint64) + np.uint64(7)), return_index=True)[1]
-        distinct = np.bincount(block.doc[kinds], minlength=block.n_docs)
+        variety = _variety(block)
         per_word, mean = symbols / at_least, chars / at_least
         caps = upper / np.maximum(letters, 1)
         dup = lines[:, 1] / np.maximum(lines[:, 0], 1)
@@ -102,7 +119,7 @@ def measure(texts: pd.Series) -> pd.DataFrame:
             _vote((caps > 0.5) & (letters >= 20), caps < 0.2),
             _vote(shouts / at_least > 0.1, shouts / at_least < 0.02),
             _vote((mean < 2) | (mean > 15), (mean >= 2.5) & (mean <= 11)),
-            _vote((distinct < 0.08 * n) & (n >= 40) & (n < 2000), distinct > 0.2 * n),
+            _vote((variety < 0.08) & (n >= 40), variety > 0.2),
         ]
         frame = pd.DataFrame({"n_words": n, "word_chars": chars, "n_symbols": symbols,
                               "n_dup_lines": lines[:, 1], "n_repeat_words": repeats})

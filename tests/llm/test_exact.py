@@ -9,11 +9,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from studylake.llm import (byte_cnn, lattice, licenses, lstm_crf, minhash, mixing, packing, pii, quality_rules, secrets,
-                           sharding, tokens)
+                           sharding, tokens, words)
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -299,6 +300,21 @@ def test_quality_rules(spark, docs, texts):
     assert wrong <= 2
 
 
+def test_variety_does_not_depend_on_length():
+    rng = random.Random(8)
+    few, many = [f"w{i}" for i in range(100)], [f"w{i}" for i in range(2500)]
+    lengths = [1999, 2000, 2001, 3999, 4000, 9001, 70_000]
+    texts = [" ".join(rng.choice(v) for _ in range(n)) for v in (few, many) for n in lengths]
+    votes = [v[quality_rules.RULES.index("variety")] for v in quality_rules.measure(pd.Series(texts))["votes"]]
+    assert votes == ["0"] * len(lengths) + ["1"] * len(lengths)
+    for n in (39, 40, 500, 1999, 2000, 2001, 4000, 5003):
+        w = [rng.choice(few) for _ in range(n)]
+        starts = [0] if n <= 2000 else [*range(0, n - 1999, 2000), *([n - 2000] if n % 2000 else [])]
+        share = np.mean([len(set(w[k:k + 2000])) / len(w[k:k + 2000]) for k in starts])
+        block = next(iter(words.blocks([b"", " ".join(w).encode(), b"one"])))
+        assert np.allclose(quality_rules._variety(block), [0, share, 1])
+
+
 def test_byte_cnn_learns_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     lab = spark.read.parquet(f"{sf}/labels.parquet")
