@@ -242,6 +242,15 @@ def _shared(x: tuple, y: tuple) -> np.ndarray:
     return out
 
 
+def _open_tasks(rows: DataFrame, texts: DataFrame) -> int:
+    """Tasks for the blocks of open clusters, by the text that they get: each
+    text once for every block that it meets."""
+    times = F.col("out_blocks") + F.when(F.col("comp") != F.col("top"), F.col("blocks")).otherwise(0)
+    chars = texts.select("id", F.length("text").cast("long").alias("chars"))
+    total = rows.join(chars, "id").agg(F.sum(F.col("chars") * times)).first()[0] or 0
+    return max(256, int(total) // TASK_CHARS)
+
+
 def _remaining(every: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between components among documents that can have met in a cell.
 
@@ -264,8 +273,7 @@ def _remaining(every: DataFrame, labels: DataFrame, texts: DataFrame, width: int
                                              F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     right = rows.select("id", "cluster", "comp", F.lit(False).alias("out"),
                         F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)).alias("i"), F.pmod(hash_, "blocks").cast("int").alias("j"))
-    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    task = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(max(256, int(total) // TASK_CHARS))).cast("int")
+    task = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(_open_tasks(rows, texts))).cast("int")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []

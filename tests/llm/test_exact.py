@@ -281,6 +281,16 @@ def test_minhash_components_equal_all_pairs(spark, docs, texts, width):
     assert all(r["n_shingles"] == len(sets[i]) and r["kept"] == (i == find(i)) for i, r in got.items())
 
 
+def test_minhash_tasks_follow_the_repeated_text(spark, monkeypatch):
+    # a cluster with a component of 40 and 160 documents outside of it, 20 characters each
+    rows = spark.createDataFrame([(i, 1, 0 if i < 40 else i, 0, 20, 16) for i in range(200)],
+                                 "id long, cluster long, comp long, top long, blocks int, out_blocks int")
+    texts = rows.select("id", F.lit("x" * 20).alias("text"))
+    monkeypatch.setattr(minhash, "TASK_CHARS", 100)
+    assert minhash._open_tasks(rows, texts) == (200 * 16 + 160 * 20) * 20 // 100
+    assert minhash._open_tasks(rows.limit(0), texts) == 256
+
+
 def test_quality_rules(spark, docs, texts):
     lab = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     wrong = 0
