@@ -12,17 +12,20 @@ A link is counted in the first table and cell that can see it, which each cell
 works out from the two vectors alone; so a cell reports counts and a spanning
 set of links per vector, never the pairs of a large group.
 
-Vectors with equal components are one class that stands for its copies.
-
-Nulls and odd rows: a null vector, one without components, of another length
-than most, of zero norm or with null or non-finite components links with
-nothing; a null vec_id is carried through and links with nothing; rows that
-repeat an id and vector count as copies of each other; other columns are
-ignored, whatever their names; an empty table gives an empty result.
+Vectors with equal components are one class that stands for its copies. Vectors
+of each length are hashed by projections of their own, and only vectors of one
+length meet in a cell.
+
+Nulls and odd rows: a null vector, one without components, of zero norm or with
+null or non-finite components links with nothing; a null vec_id is carried
+through and links with nothing; rows that repeat an id and vector count as
+copies of each other; other columns are ignored, whatever their names; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -81,6 +84,11 @@ def projections(dim: int) -> np.ndarray:
     return np.random.default_rng((SEED, dim)).normal(0, SCALE, (TABLES, dim, PARTS * DIM))
 
 
+@functools.lru_cache(maxsize=8)
+def _matrix(dim: int) -> np.ndarray:
+    return projections(dim)
+
+
 def _cell(points: np.ndarray) -> np.ndarray:
     """A 64-bit name of lattice points (..., PARTS * DIM), exact in doubled coordinates."""
     with np.errstate(over="ignore"):
@@ -189,43 +197,43 @@ def _shift(n: Column) -> Column:
 def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id and kept."""
     found = staged(classes(vectors), "lattice-classes")
-    top = found.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    dim = top["dim"] if top else 1
-    whole = found.filter(F.size("v") == dim)
-    matrix = projections(dim)
 
     @F.pandas_udf("array<bigint>")
     def places(vs: pd.Series) -> pd.Series:
-        unit = _unit(_stack(vs))
-        return pd.Series(list(np.concatenate([cells(unit, t, matrix) for t in range(TABLES)], 1)))
-
-    per_table = F.lit(1 + PROBES)
-    seen = staged(whole.select("id", F.posexplode(places("v")).alias("p", "cell")).select(
-        "id", "cell", F.floor(F.col("p") / per_table).cast("int").alias("t"), (F.col("p") % per_table == 0).alias("home")), "lattice-cells")
+        out = pd.Series([None] * len(vs), index=vs.index, dtype="object")
+        for dim, own in vs.groupby(vs.map(len)):
+            unit, matrix = _unit(_stack(own)), _matrix(int(dim))
+            out[own.index] = pd.Series(list(np.concatenate([cells(unit, t, matrix) for t in range(TABLES)], 1)), index=own.index)
+        return out
+
+    # the length is part of a cell's key
+    dim, per_table = F.size("v"), F.lit(1 + PROBES)
+    seen = staged(found.select("id", dim.alias("dim"), F.posexplode(places("v")).alias("p", "cell")).select(
+        "id", "dim", "cell", F.floor(F.col("p") / per_table).cast("int").alias("t"), (F.col("p") % per_table == 0).alias("home")), "lattice-cells")
     # cells where a vector at home has company, cut into blocks of bounded size
-    busy = (seen.groupBy("t", "cell").agg(F.count("*").alias("n"), F.count_if("home").alias("n_home"))
+    busy = (seen.groupBy("dim", "t", "cell").agg(F.count("*").alias("n"), F.count_if("home").alias("n_home"))
             .filter("n_home > 0 and n > 1")
-            .select("t", "cell", _shift(F.col("n")).alias("blocks"), _shift(F.col("n_home")).alias("home_blocks"), "n"))
+            .select("dim", "t", "cell", _shift(F.col("n")).alias("blocks"), _shift(F.col("n_home")).alias("home_blocks"), "n"))
     busy = staged(busy, "lattice-busy")
     total = busy.agg(F.sum(F.col("n") * F.col("home_blocks"))).first()[0] or 0
     groups = max(64, int(total) // GROUP_ROWS)
     own = F.pmod(F.xxhash64("id", "t"), F.col("blocks")).cast("int")
     there = F.pmod(F.xxhash64("id", "t"), F.col("home_blocks")).cast("int")
-    rows = seen.join(busy, ["t", "cell"])
+    rows = seen.join(busy, ["dim", "t", "cell"])
     # a row meets every block of those at home; one at home is met by every block of rows
-    left = rows.select("id", "t", "cell", "home", F.lit(True).alias("left"), own.alias("i"),
+    left = rows.select("id", "dim", "t", "cell", "home", F.lit(True).alias("left"), own.alias("i"),
                        F.explode(F.sequence(F.lit(0), F.col("home_blocks") - 1)).alias("j"))
-    right = rows.filter("home").select("id", "t", "cell", "home", F.lit(False).alias("left"),
+    right = rows.filter("home").select("id", "dim", "t", "cell", "home", F.lit(False).alias("left"),
                                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), there.alias("j"))
-    both = left.unionByName(right).join(whole, "id")
-    task = F.pmod(F.xxhash64("t", "cell", "i", "j"), F.lit(groups)).cast("int")
+    both = left.unionByName(right).join(found.withColumn("dim", dim), ["id", "dim"])
+    task = F.pmod(F.xxhash64("dim", "t", "cell", "i", "j"), F.lit(groups)).cast("int")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (t, cell, _, _), part in group.groupby(["t", "cell", "i", "j"], sort=False):
+        for (dim, t, cell, _, _), part in group.groupby(["dim", "t", "cell", "i", "j"], sort=False):
             x, y = part[part["left"]], part[~part["left"]]
             if len(x) and len(y):
-                out += list(_compare(int(t), int(cell), x, y, least, matrix))
+                out += list(_compare(int(t), int(cell), x, y, least, _matrix(int(dim))))
         if not out:
             return pd.DataFrame({"id": [], "n": [], "low": []})
         return pd.DataFrame({"id": np.concatenate([o[0] for o in out]), "n": np.concatenate([o[1] for o in out]),

@@ -435,3 +435,31 @@ def test_lattice_links_equal_all_pairs(spark):
     for _ in range(400):
         low = np.where(link, low[None], low[:, None]).min(1).clip(max=low)
     assert [got[i]["component_id"] for i in range(400)] == low.tolist()
+
+
+def test_lattice_links_vectors_of_every_length(spark):
+    rng = np.random.default_rng(7)
+    rows, at = [], 0
+    for dim, n in ((64, 120), (48, 60), (3, 20), (1, 4)):
+        v = rng.normal(size=(n, dim))
+        v[: n // 2] = v[0] + rng.normal(0, 0.1, (n // 2, dim))
+        rows += [(at + i, [float(x) for x in r]) for i, r in enumerate(v.astype(np.float32))]
+        at += n
+    links, low = Counter(), {i: i for i, _ in rows}
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in rows]
+    pairs = [(a, b) for a in range(at) for b in range(a) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95]
+    for a, b in pairs:
+        links[a] += 1
+        links[b] += 1
+    for _ in range(at):
+        old = dict(low)
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+        if old == low:
+            break
+    got = {r["vec_id"]: r for r in lattice.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert [got[i]["n_links"] for i in range(at)] == [links[i] for i in range(at)]
+    assert [got[i]["component_id"] for i in range(at)] == [low[i] for i in range(at)]
+    twice = [(1, [1.0, 0.0, 0.5]), (1, [1.0, 0.0]), (2, [1.0, 0.01, 0.5]), (3, [1.0, 0.01])]
+    out = lattice.near_duplicates(spark.createDataFrame(twice, "vec_id long, embedding array<float>")).collect()
+    assert sorted((r["vec_id"], r["component_id"]) for r in out) == [(1, 1), (1, 1), (2, 1), (3, 1)]
