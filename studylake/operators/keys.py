@@ -34,11 +34,20 @@ class Keyed:
 
 
 def partitions_for(df: DataFrame) -> int:
-    """Partitions by the bytes of the inputs, one per core at least."""
+    """Partitions by the bytes of the inputs, one per core at least. An input
+    without files (an RDD, rows of the driver) has no known size, only Spark's
+    placeholder of 8 EB; it counts with the partitions it already has."""
+    spark = df.sparkSession
+    unknown = int(spark._jsparkSession.sessionState().conf().defaultSizeInBytes())
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(cores, min(MAX_PARTITIONS, math.ceil(size / PARTITION_BYTES)))
+    size, parts = 0, spark.sparkContext.defaultParallelism
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        bytes_ = int(str(leaf.stats().sizeInBytes()))
+        if bytes_ < unknown:
+            size += bytes_
+        elif leaf.nodeName() == "LogicalRDD" or leaf.getClass().getSimpleName() == "LogicalRDD":
+            parts = max(parts, leaf.rdd().getNumPartitions())
+    return max(parts, min(MAX_PARTITIONS, math.ceil(size / PARTITION_BYTES)))
 
 
 def pin_sorted(df: DataFrame, order_cols: list[str], num_partitions: int | None = None,
@@ -115,13 +124,16 @@ def study_keys(studies: DataFrame) -> Keyed:
 
 
 def resolve_org_id(studies: DataFrame, orgs: DataFrame) -> DataFrame:
-    """K4: name → id, unknown name → null id (left lookup). Null names match
-    nothing, however many there are, and take no part in the join; how to join
-    is the planner's choice, by measured bytes."""
-    dim = orgs.select("org_name", "org_id")
-    named = studies.filter(F.col("org_name").isNotNull()).join(dim, "org_name", "left")
-    unnamed = studies.filter(F.col("org_name").isNull()).withColumn("org_id", F.lit(None).cast("bigint"))
-    return named.unionByName(unnamed)
+    """K4: name → id, unknown name → null id (left lookup), in one scan of the
+    fact. The join key is a struct: rows without a name carry their own row
+    index in it, so they match nothing and spread over all tasks, however many
+    there are. How to join is the planner's choice, by measured bytes."""
+    def key(null, value):
+        return F.struct(null.alias("unnamed"), value.alias("of"))
+    name = F.col("org_name")
+    dim = orgs.select(key(F.lit(False), name).alias("__key"), "org_id")
+    own = key(name.isNull(), F.coalesce(name, F.col("source_row_index").cast("string")))
+    return studies.withColumn("__key", own).join(dim, "__key", "left").drop("__key")
 
 
 def resolve_study_id(bridge: DataFrame, studies: DataFrame) -> DataFrame:
