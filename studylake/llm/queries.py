@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studylake.llm import byte_cnn, lattice, licenses, minhash, mixing, packing, pii, quality_rules, secrets, sharding
+from studylake.llm import (byte_cnn, lattice, licenses, minhash, mixing, packing, pii, quality_rules, secrets, sharding,
+                           term_pipeline, warc, whitening)
 from studylake.llm.common import read_table
 
 
@@ -49,6 +50,47 @@ def op10_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op12_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_pipeline.rank(read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents"))
+
+
+def op13_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM g"""
+
+
+def _terms_sql(column: str) -> str:
+    return (f"unnest(regexp_extract_all(translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))")
+
+
+SEARCH_SQL = f"""
+WITH t AS (SELECT doc_id, {_terms_sql("text")} AS term FROM documents),
+d AS (SELECT doc_id, term, COUNT(*) AS tf FROM t GROUP BY doc_id, term),
+l AS (SELECT doc_id, CAST(SUM(tf) AS BIGINT) AS n FROM d GROUP BY doc_id),
+totals AS (SELECT COUNT(*) AS all_docs, CAST(SUM(n) AS BIGINT) AS all_terms FROM l),
+m AS (SELECT doc_id, 100 - 90 + (90 * n * all_docs) // all_terms AS m FROM l, totals),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+  FROM d, totals GROUP BY term, all_docs),
+i AS (SELECT DISTINCT item_id, {_terms_sql("text")} AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN d USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM r WHERE place <= 10"""
+
+
 QUERIES = {
     "op1_e8_lattice": op1_e8_lattice,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -60,5 +102,8 @@ QUERIES = {
     "op8_randomness_secrets": op8_randomness_secrets,
     "op9_quality_rules": op9_quality_rules,
     "op10_bilstm_crf_pii": op10_bilstm_crf_pii,
+    "op11_sharded_warc": op11_sharded_warc,
+    "op12_term_pipeline": op12_term_pipeline,
+    "op13_qdwh_whitening": op13_qdwh_whitening,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op11_sharded_warc": WARC_SQL, "op12_term_pipeline": SEARCH_SQL}
