@@ -122,10 +122,10 @@ def clean_stripped(df: DataFrame, cols: list[str]) -> DataFrame:
     return out
 
 
-def build_studies(cleaned: DataFrame) -> DataFrame:
+def build_studies(cleaned: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rename and project to the fact shape (14 columns, plus the
-    optional provenance/id columns when the source has them)."""
-    extras = [c for c in EXTRA_COLUMNS if c in cleaned.columns]
+    optional provenance/id columns when the source has them, and ``keep``)."""
+    extras = [c for c in (*EXTRA_COLUMNS, *keep) if c in cleaned.columns]
     exprs = {c: F.col(c) for c in STUDY_COLUMNS}
     exprs["phase"] = F.col("phases")
     key = ["study_id"] if "study_id" in cleaned.columns else []

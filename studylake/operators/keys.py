@@ -23,6 +23,8 @@ _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row pos
 PART, POS = "__part", "__pos"
 PARTITION_BYTES = 128 << 20
 MAX_PARTITIONS = 100_000
+#: Offsets that are planned as literals.
+INLINE = 1000
 #: Parents whose children one task numbers.
 PARENTS_PER_GROUP = 65_536
 
@@ -77,7 +79,11 @@ def _offsets(df: DataFrame, counts: DataFrame, group: str) -> tuple[DataFrame, i
     for r in sorted(counts.collect(), key=lambda r: r[0]):
         rows.append((r[0], total))
         total += int(r[1] or 0)
-    return df.sparkSession.createDataFrame(rows or [(0, 0)], f"{group} long, __off long"), total
+    rows = rows or [(0, 0)]
+    if len(rows) <= INLINE:  # a relation of literals: known size, no Python rows
+        values = ", ".join(f"({g}L, {o}L)" for g, o in rows)
+        return df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({group}, __off)"), total
+    return df.sparkSession.createDataFrame(rows, f"{group} long, __off long"), total
 
 
 def number_pinned(pinned: DataFrame, out: str) -> Keyed:

@@ -8,7 +8,11 @@ files' metadata-backed scans, not from extra passes over the inputs."""
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
+import threading
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +32,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def side_by_side(work: list) -> list:
+    """Results of independent jobs, run at the same time, so that the tail of one
+    leaves no cores idle. The first failure is raised, after all have ended."""
+    with ThreadPoolExecutor(len(work) or 1) as pool:
+        return [f.result() for f in [pool.submit(w) for w in work]]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -46,23 +57,144 @@ def newest(spark: SparkSession, root: str, prefix: str) -> int | None:
     return max((i for i in found if exists(spark, os.path.join(root, f"{prefix}={i}", "_SUCCESS"))), default=None)
 
 
-def publish(spark: SparkSession, root: str, run_id: str, paths: dict[str, str]) -> None:
-    """Point readers at a run: a new numbered pointer below ``root/_published``,
-    never an overwritten one. It counts once its write is committed."""
-    pointers = os.path.join(root, "_published")
-    number = (newest(spark, pointers, "version") or 0) + 1
-    (spark.createDataFrame([(run_id, t, p) for t, p in paths.items()], "run_id string, table_name string, path string")
-     .coalesce(1).write.parquet(os.path.join(pointers, f"version={number}")))
+class Conflict(RuntimeError):
+    """Another run was published after the state that this one builds on."""
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with this text, never over an existing one; False where it
+    exists. A local file is linked into place whole; other stores decide by their
+    create without overwrite."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    uri = fs.makeQualified(p).toUri()
+    if uri.getScheme() == "file":
+        own = f"{uri.getPath()}.{uuid.uuid4().hex}"
+        with open(own, "w") as f:
+            f.write(text)
+        try:
+            os.link(own, uri.getPath())
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(own)
+        return True
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # noqa: BLE001 - the store's own kind of "exists"
+        if fs.exists(p):
+            return False
+        raise e
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+#: A stored part of a table: its name, its bucket (None: the whole table) and path.
+Part = tuple[str, "int | None", str]
+
+
+def _pointers(spark: SparkSession, root: str) -> list[tuple[int, dict]]:
+    """Committed pointers, oldest first. One that is still being written does not count."""
+    folder, out = os.path.join(root, "_published"), []
+    for name in names(spark, folder):
+        if name.startswith("version=") and name.endswith(".json"):
+            try:
+                out.append((int(name[len("version="):-len(".json")]), json.loads(read_text(spark, os.path.join(folder, name)))))
+            except ValueError:
+                continue
+    return sorted(out, key=lambda v: v[0])
+
+
+def current(spark: SparkSession, root: str) -> tuple[int, dict | None]:
+    """The newest pointer's number and content; (0, None) before the first."""
+    found = _pointers(spark, root)
+    return found[-1] if found else (0, None)
+
+
+def publish(spark: SparkSession, root: str, run_id: str, parts: dict[str, str] | list[Part], run_root: str | None = None,
+            based_on: int | None = None) -> int:
+    """L1: point readers at a run by a new numbered pointer below
+    ``root/_published``, created without overwriting. Where two runs meet, the
+    loser takes the next number; with ``based_on`` (an increment) it raises
+    ``Conflict`` instead, since its state lacks the winner's. Returns the number."""
+    rows = [(t, None, p) for t, p in parts.items()] if isinstance(parts, dict) else parts
+    content = json.dumps({"run_id": run_id, "run_root": run_root, "parts": rows})
+    number = (current(spark, root)[0] if based_on is None else based_on) + 1
+    while not create_new(spark, os.path.join(root, "_published", f"version={number}.json"), content):
+        if based_on is not None:
+            raise Conflict(f"version {number} of {root} was published by another run")
+        number += 1
+    return number
+
+
+def published_parts(spark: SparkSession, root: str) -> list[Part]:
+    """The stored parts of the run that was published last; none before the first."""
+    content = current(spark, root)[1]
+    return [tuple(p) for p in content["parts"]] if content else []
 
 
 def published(spark: SparkSession, root: str) -> dict[str, str]:
-    """Table → path of the run that was published last; empty before the first."""
-    pointers = os.path.join(root, "_published")
-    number = newest(spark, pointers, "version")
-    if number is None:
-        return {}
-    rows = spark.read.parquet(os.path.join(pointers, f"version={number}")).collect()  # one row per table
-    return {r["table_name"]: r["path"] for r in rows}
+    """Table → path of the last published run whose tables are whole."""
+    return {t: p for t, bucket, p in published_parts(spark, root) if bucket is None}
+
+
+def read_parts(spark: SparkSession, parts: list[Part]) -> dict[str, DataFrame]:
+    """Table → all its parts as one frame. Parts of a table have one schema."""
+    by_table: dict[str, list[str]] = {}
+    for table, _, path in parts:
+        by_table.setdefault(table, []).append(path)
+    return {t: spark.read.parquet(*paths) for t, paths in by_table.items()}
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2, grace: dt.timedelta = dt.timedelta(days=1)) -> list[str]:
+    """Remove what no reader needs: pointers but the newest ``keep``, and run
+    folders that none of these names and that nothing was written to for ``grace``
+    (so a run in progress is spared). Returns the removed paths."""
+    if keep < 1:
+        raise ValueError("the newest pointer must stay")
+    jvm = spark.sparkContext._jvm
+    pointers = _pointers(spark, root)
+    kept, gone = pointers[-keep:], []
+    used = [p for _, c in kept for _, _, p in c["parts"]] + [c["run_root"] for _, c in kept if c.get("run_root")]
+    before = (dt.datetime.now() - grace).timestamp() * 1000
+    runs = os.path.join(root, "runs")
+    for name in names(spark, runs):
+        folder = os.path.join(runs, name)
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not any(u == folder or u.startswith(folder + "/") for u in used) and _last_write(fs, p) < before:
+            fs.delete(p, True)
+            gone.append(folder)
+    for number, _ in pointers[:-keep]:  # after the folders, so a broken-off vacuum is taken up again
+        path = os.path.join(root, "_published", f"version={number}.json")
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+        gone.append(path)
+    return gone
+
+
+def _last_write(fs, path) -> int:
+    """The newest modification time below a folder, two levels deep (tables and their files' folders)."""
+    newest_ms = fs.getFileStatus(path).getModificationTime()
+    level = [path]
+    for _ in range(2):
+        below = [s for p in level for s in fs.listStatus(p)]
+        newest_ms = max([newest_ms, *[s.getModificationTime() for s in below]])
+        level = [s.getPath() for s in below if s.isDirectory()]
+    return newest_ms
 
 
 def load_full_refresh(spark: SparkSession, tables: dict[str, DataFrame],
@@ -123,6 +255,7 @@ class RunLog:
         self.run_id = run_id
         self.path = path
         self.rows: list[tuple] = []
+        self._lock = threading.Lock()  # steps of tables that are written side by side
 
     def step(self, step_name: str, status: str, rows_processed: int, rows_rejected: int,
              started_at: dt.datetime, error_message: str | None = None,
@@ -130,10 +263,20 @@ class RunLog:
         import decimal
         completed_at = completed_at or dt.datetime.now()
         dur = decimal.Decimal(str(round((completed_at - started_at).total_seconds(), 2)))
-        self.rows.append((len(self.rows) + 1, self.run_id, step_name, status, int(rows_processed),
-                          int(rows_rejected), error_message, started_at, completed_at, dur))
-        if self.path:
-            self._frame(self.rows[-1:]).coalesce(1).write.mode("append").parquet(self.path)
+        with self._lock:
+            self.rows.append((len(self.rows) + 1, self.run_id, step_name, status, int(rows_processed),
+                              int(rows_rejected), error_message, started_at, completed_at, dur))
+            if self.path:
+                cells = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(self.rows[-1], PIPELINE_LOG_SCHEMA)]
+                self.spark.range(0, 1, 1, 1).select(*cells).write.mode("append").parquet(self.path)
+
+    @staticmethod
+    def compact(spark: SparkSession, path: str, into: str) -> DataFrame:
+        """The steps of all runs so far, written to a few files at ``into``, for a
+        log that has grown to many small ones."""
+        rows = spark.read.schema(PIPELINE_LOG_SCHEMA).parquet(path)
+        rows.coalesce(1).write.parquet(into)
+        return spark.read.parquet(into)
 
     def frame(self) -> DataFrame:
         """This run's steps."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..schemas import FOREIGN_KEYS, MAX_LENGTH, NOT_NULL
+from .load import side_by_side
 
 CHECK_COLUMNS = ["check_name", "table_name", "column_name", "severity", "failures", "examples"]
 
@@ -138,8 +139,28 @@ def contract_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 def contract(tables: dict[str, DataFrame]) -> DataFrame:
     """D8–D10 over every warehouse table present: nulls, lengths, foreign keys."""
-    return reduce(DataFrame.unionByName, [contract_nulls(tables), contract_max_length(tables),
-                                          contract_foreign_keys(tables)])
+    return reduce(DataFrame.unionByName, contract_parts(tables))
+
+
+def contract_parts(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """The contract's checks, one scan of each table and one of each foreign key."""
+    parts = []
+    for t, df in tables.items():
+        specs = [("contract_not_null", c, "error", F.count_if(F.col(c).isNull())) for c in NOT_NULL.get(t, []) if c in df.columns]
+        specs += [("max_length", c, "error", F.count_if(F.length(c) > n)) for c, n in MAX_LENGTH.get(t, {}).items() if c in df.columns]
+        if specs:
+            parts.append(_rows(df, t, specs))
+    return parts + [check_foreign_key(tables[c], cc, tables[p], pc, c, p)
+                    for c, cc, p, pc in FOREIGN_KEYS if c in tables and p in tables]
+
+
+def quarantine(df: DataFrame, run_id: str, table: str, reason: Column | str) -> DataFrame:
+    """Rejected rows in one shape for all tables: the run, the table,
+    the reason and the row as JSON (nulls included)."""
+    why = F.lit(reason) if isinstance(reason, str) else reason
+    own = [c for c in df.columns if not c.startswith("__")]
+    return df.select(F.lit(run_id).alias("run_id"), F.lit(table).alias("table_name"), why.cast("string").alias("reason"),
+                     F.to_json(F.struct(*own), {"ignoreNullFields": "false"}).alias("record"))
 
 
 STUDY_ENUMS = [("study_type", TX.VALID_STUDY_TYPES), ("overall_status", TX.VALID_STATUSES),
@@ -172,12 +193,11 @@ def studies_checks(studies: DataFrame) -> DataFrame:
     return _rows(studies, "studies", specs, {len(specs) - 1: date_ex})
 
 
-def validate_all(studies: DataFrame, orgs: DataFrame, conditions: DataFrame,
-                 interventions: DataFrame, age_groups: DataFrame) -> DataFrame:
-    """The gate's check rows. Fact checks are fused into one pass; the
-    example lists are small separate top-k jobs; everything is folded per
-    check by a tiny final aggregate (a few dozen rows)."""
-    parts = [
+def validation_parts(studies: DataFrame, orgs: DataFrame, conditions: DataFrame,
+                     interventions: DataFrame, age_groups: DataFrame) -> list[DataFrame]:
+    """The gate's quality checks: those of the fact fused into one pass, example
+    lists as small top-k jobs."""
+    return [
         studies_checks(studies),
         *[invalid_examples(studies, "studies", c, v) for c, v in STUDY_ENUMS],
         check_valid_values(orgs, "organizations", "org_class", TX.VALID_ORG_CLASSES),
@@ -187,7 +207,13 @@ def validate_all(studies: DataFrame, orgs: DataFrame, conditions: DataFrame,
         check_not_empty(interventions, "interventions"),
         check_not_empty(age_groups, "age_groups"),
     ]
-    rows = reduce(DataFrame.unionByName, parts)
+
+
+def validate_all(studies: DataFrame, orgs: DataFrame, conditions: DataFrame,
+                 interventions: DataFrame, age_groups: DataFrame) -> DataFrame:
+    """The gate's check rows, folded per check by a tiny final aggregate (a few
+    dozen rows)."""
+    rows = reduce(DataFrame.unionByName, validation_parts(studies, orgs, conditions, interventions, age_groups))
     folded = rows.groupBy("check_name", "table_name", "column_name", "severity").agg(
         F.max("failures").alias("failures"), F.max("examples").alias("examples"))
     return folded.select(
@@ -200,10 +226,20 @@ class ValidationError(RuntimeError):
     pass
 
 
-def gate(report: DataFrame, raise_on_error: bool = True) -> tuple[bool, str]:
+def gate(report: DataFrame | list[DataFrame], raise_on_error: bool = True) -> tuple[bool, str]:
     """Collect the (bounded) check rows, build the text report and enforce
-    the verdict: errors stop the run, warnings pass."""
-    rows = report.collect()
+    the verdict: errors stop the run, warnings pass. A list of checks is run side
+    by side, and a check's count and examples are folded here."""
+    if isinstance(report, list):
+        found: dict[tuple, dict] = {}
+        for r in [r for part in side_by_side([p.collect for p in report]) for r in part]:
+            key = tuple(r[c] for c in CHECK_COLUMNS[:4])
+            row = found.setdefault(key, dict(zip(CHECK_COLUMNS, (*key, None, None))))
+            row["failures"] = max((v for v in (row["failures"], r["failures"]) if v is not None), default=None)
+            row["examples"] = max((v for v in (row["examples"], r["examples"]) if v is not None), default=None)
+        rows = sorted(found.values(), key=lambda r: tuple(str(r[c]) for c in CHECK_COLUMNS[:4]))
+    else:
+        rows = report.collect()
     errors = [r for r in rows if r["severity"] == "error" and r["failures"] > 0]
     warnings = [r for r in rows if r["severity"] == "warning" and r["failures"] > 0]
     lines = ["DATA VALIDATION REPORT"]

@@ -128,8 +128,8 @@ def with_clean(body: str) -> str:
     return f"WITH {RAW},\n{CLEAN}\n{body}"
 
 
-def with_w(body: str, bridges: tuple[str, ...] = (), locations: bool = False) -> str:
-    ctes = [RAW, CLEAN, WAREHOUSE] + [BRIDGE_CTES[b] for b in bridges]
+def with_w(body: str, bridges: tuple[str, ...] = (), locations: bool = False, extra: tuple[str, ...] = ()) -> str:
+    ctes = [RAW, CLEAN, WAREHOUSE] + [BRIDGE_CTES[b] for b in bridges] + list(extra)
     if locations:
         ctes.append(LOCATIONS)
     return "WITH " + ",\n".join(ctes) + "\n" + body

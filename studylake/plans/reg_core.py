@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+
 from pyspark.sql import functions as F
 
 from .. import oracles as O
 from ..functions import dates as D
 from ..operators import clean as C
 from ..operators import keys as K
+from ..operators import load as L
 from ..operators import normalize as N
+from ..operators.contract import conform
+from ..session import staging_path
 from ..sources import fixtures
 from .registry import R, W, register
 
@@ -203,9 +209,9 @@ def unmapped_rows(spark, sf_dir):
 SELECT study_id, 'csv' AS data_source, coalesce(start_date_is_approx, false) AS start_date_is_approx
 FROM studies"""))
 def apply_defaults(spark, sf_dir):
-    s = W(spark, sf_dir).studies
-    d = K.apply_defaults(s, {"data_source": F.lit("csv"),
-                             "start_date_is_approx": F.lit(False),
-                             "created_at": F.current_timestamp(),
-                             "updated_at": F.current_timestamp()})
-    return d.select("study_id", "data_source", "start_date_is_approx")
+    """K7: the studies as the contract writes them, read back."""
+    path = os.path.join(staging_path(spark, "studies-by-contract"), "studies")
+    L.write_table(conform(W(spark, sf_dir).studies, "studies", dt.datetime(2026, 1, 1)), path)
+    d = spark.read.parquet(path)
+    filled = d.filter("created_at = updated_at AND created_at = TIMESTAMP '2026-01-01 00:00:00'")
+    return filled.select("study_id", "data_source", "start_date_is_approx")

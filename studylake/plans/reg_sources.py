@@ -16,7 +16,7 @@ from ..session import staging_path
 from ..sources import csv as CSV
 from ..sources import fixtures
 from ..sources import json_pages as J
-from ..streaming.ingest import stream_upsert
+from ..streaming.ingest import stream_pages, stream_upsert
 from .reg_quality import LATEST_SQL
 from .registry import R, register
 
@@ -45,17 +45,39 @@ def drop_index_cols(spark, sf_dir):
     return CSV.drop_index_cols(df)[0]
 
 
-@register("schema_check", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{h}', {'false' if h in ('Conditions', 'Phases') else 'true'})"
-    for h in REQUIRED_CSV_HEADERS) + ") t(column_name, present)")
+_CUT = ["Conditions", "Phases"]
+
+
+def _two_layouts(spark, sf_dir):
+    """An export whose files differ: rows of even index with the index column and
+    all headers, the others without index, in reverse order and without two columns."""
+    root = os.path.join(staging_path(spark, "csv-layouts"), "export")
+    raw = R(spark, sf_dir)
+    CSV.write_csv_export(raw.filter("source_row_index % 2 = 0"), os.path.join(root, "full"))
+    odd = raw.filter("source_row_index % 2 = 1")
+    back = [(c, h) for c, h in reversed(RAW_HEADERS.items()) if h not in _CUT]
+    (odd.select(*[F.col(c).alias(h) for c, h in back]).write.options(**CSV._CSV_OPTS)
+     .option("nullValue", "").option("emptyValue", '""').csv(os.path.join(root, "cut")))
+    return os.path.join(root, "*")
+
+
+@register("schema_check", O.with_raw("\nUNION ALL\n".join(
+    f"SELECT '{h}' AS column_name, {'false' if h in _CUT else 'true'} AS present, COUNT(*) AS n_rows, "
+    f"COUNT(CASE WHEN {c} NOT IN ({_NA}){' AND source_row_index % 2 = 0' if h in _CUT else ''} THEN 1 END) AS non_null FROM raw"
+    for c, h in RAW_HEADERS.items())))
 def schema_check(spark, sf_dir):
-    """S3: required-header check of a scan missing two columns (schema only,
-    no job); ``require_columns`` raises on the same input."""
-    df = spark.read.options(**CSV._CSV_OPTS).csv(_landed_csv(spark, sf_dir))
-    df = df.drop("Conditions", "Phases")
-    missing = set(CSV.schema_check(df, REQUIRED_CSV_HEADERS))
-    return spark.createDataFrame([(h, h not in missing) for h in REQUIRED_CSV_HEADERS],
-                                 "column_name string, present boolean")
+    """S3: the required headers over an export whose files differ, with the records
+    and non-null cells of each; ``scan_files`` raises on the same input."""
+    return CSV.presence(spark, _two_layouts(spark, sf_dir))
+
+
+@register("csv_headers", O.with_raw("SELECT CASE WHEN source_row_index % 2 = 0 THEN source_row_index END AS \"index\", " + ", ".join(
+    f"CASE WHEN {c} IN ({_NA}){' OR source_row_index % 2 = 1' if h in _CUT else ''} THEN NULL ELSE {c} END AS {c}"
+    for c, h in RAW_HEADERS.items()) + " FROM raw"))
+def csv_headers(spark, sf_dir):
+    """Files read by their own headers."""
+    rows = CSV.scan_files(spark, _two_layouts(spark, sf_dir), required=["Brief Title"])
+    return rows.filter("reason IS NULL").select("index", *RAW_HEADERS)
 
 
 @register("source_summary", O.with_raw(
@@ -250,7 +272,22 @@ def stream_ingest(spark, sf_dir):
     e = fixtures.table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     land = os.path.join(root, "landing")
     e.repartitionByRange(4, "ts").write.mode("overwrite").parquet(land)
-    final = stream_upsert(spark, land, e.schema, os.path.join(root, "state"),
-                          os.path.join(root, "checkpoint"), ["user_id"], ["ts", "event_id"],
-                          max_files_per_trigger=1)
-    return spark.read.parquet(final)
+    return stream_upsert(spark, land, e.schema, os.path.join(root, "state"),
+                         os.path.join(root, "checkpoint"), ["user_id"], ["ts", "event_id"],
+                         max_files_per_trigger=1, buckets=8)
+
+
+@register("stream_pages", O.with_raw(f"""
+SELECT {NCT} AS nct_id, CASE WHEN source_row_index % 3 = 0 THEN 'Update of ' ELSE '' END || brief_title AS brief_title,
+  CAST(source_row_index % 500 AS INTEGER) AS enrollment FROM raw"""))
+def stream_pages_query(spark, sf_dir):
+    """JSON pages landed in two waves, ingested after each; a study is what
+    landed last."""
+    root = staging_path(spark, "stream-pages")
+    land = os.path.join(root, "landing")
+    raw, sites = R(spark, sf_dir), fixtures.raw_locations(spark, sf_dir)
+    J.build_pages(raw, sites).repartition(2).write.json(land)
+    stream_pages(spark, land, root, buckets=8)
+    again = raw.filter("source_row_index % 3 = 0").withColumn("brief_title", F.concat(F.lit("Update of "), "brief_title"))
+    J.build_pages(again, sites).write.mode("append").json(land)
+    return stream_pages(spark, land, root, buckets=8).select("nct_id", "brief_title", "enrollment")

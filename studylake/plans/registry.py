@@ -229,3 +229,4 @@ from . import reg_core  # noqa: E402,F401
 from . import reg_quality  # noqa: E402,F401
 from . import reg_profile  # noqa: E402,F401
 from . import reg_sources  # noqa: E402,F401
+from . import reg_load  # noqa: E402,F401

@@ -33,7 +33,7 @@ RAW_CSV_SCHEMA = T.StructType(
     [T.StructField(h, T.StringType(), True) for h in REQUIRED_CSV_HEADERS])
 
 # Optional columns carried through when a source provides them (JSON pages).
-EXTRA_COLUMNS = ["nct_id", "enrollment", "data_source"]
+EXTRA_COLUMNS = ["nct_id", "enrollment", "data_source", "study_key"]
 
 # Multi-value columns → (bridge table, value column, separator; None = whitespace runs)
 BRIDGES = {
@@ -82,6 +82,28 @@ MAX_LENGTH = {
                         "country": 100, "zip_code": 20},
     "pipeline_log": {"run_id": 50, "step_name": 100, "status": 20},
 }
+_BRIDGE = {"id": "bigint", "study_id": "bigint"}
+# Column types of the warehouse tables, in their order.
+TABLE_TYPES = {
+    "organizations": {"org_id": "bigint", "org_name": "string", "org_class": "string", "created_at": "timestamp"},
+    "studies": {
+        "study_id": "bigint", "org_id": "bigint", "responsible_party": "string", "brief_title": "string",
+        "full_title": "string", "overall_status": "string", "start_date": "date", "start_date_raw": "string",
+        "start_date_is_approx": "boolean", "primary_purpose": "string", "study_type": "string", "phase": "string",
+        "outcome_measure": "string", "intervention_description": "string", "nct_id": "string", "enrollment": "int",
+        "data_source": "string", "created_at": "timestamp", "updated_at": "timestamp",
+    },
+    "study_conditions": _BRIDGE | {"condition_name": "string"},
+    "study_interventions": _BRIDGE | {"intervention_name": "string"},
+    "study_age_groups": _BRIDGE | {"age_group": "string"},
+    "study_mesh_terms": _BRIDGE | {"mesh_term": "string"},
+    "study_locations": _BRIDGE | {"facility": "string", "city": "string", "state": "string", "country": "string", "zip_code": "string"},
+}
+# Defaults of columns that are absent or null at the load, as SQL; the run's time is one value.
+TABLE_DEFAULTS = {
+    "organizations": {"created_at": "run time"},
+    "studies": {"start_date_is_approx": "false", "data_source": "'csv'", "created_at": "run time", "updated_at": "run time"},
+}
 FOREIGN_KEYS = [
     # (child table, child column, parent table, parent column)
     ("studies", "org_id", "organizations", "org_id"),

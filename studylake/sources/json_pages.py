@@ -25,32 +25,46 @@ def _g(path: str) -> Column:
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Page documents with their studies as raw text, ``_corrupt_record`` for
-    unreadable ones, and the file that each came from."""
-    return (spark.read.schema(PAGE_JSON_SCHEMA).option("mode", "PERMISSIVE").option("multiLine", multi_line)
-            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-            .withColumn("file", F.col("_metadata.file_path")))
+    unreadable ones, and where each came from: its file, the block of the file
+    and its place there."""
+    return placed((spark.read.schema(PAGE_JSON_SCHEMA).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+                   .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)))
+
+
+def placed(pages: DataFrame) -> DataFrame:
+    """The file, block and row of each record of a file scan."""
+    return pages.withColumns({"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"),
+                              "row": F.monotonically_increasing_id()})
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
     """One row per study: its raw text, its struct (with ``_corrupt_record``
-    where it could not be read in full), its page's totalCount and file."""
+    where it could not be read in full), its page's totalCount and place. A page
+    that could not be read is one row with no raw text."""
     schema = T.StructType([*STUDY_JSON_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = pages.select(F.explode("studies").alias("raw"), "totalCount", "file")
+    raw = pages.select("file", "block", "row", "totalCount", F.col("_corrupt_record").alias("page_text"),
+                       F.posexplode_outer("studies").alias("pos", "raw"))
     study = F.from_json("raw", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return raw.withColumn("study", study).withColumn(
-        "bad", F.col("study").isNull() | F.col("study._corrupt_record").isNotNull())
+    unread = F.col("study").isNull() | F.col("study._corrupt_record").isNotNull()
+    return raw.withColumn("study", study).withColumn("bad", unread).withColumn("reason", F.when(
+        F.col("raw").isNotNull() & unread, "unreadable study").when(
+        F.col("raw").isNull() & F.col("page_text").isNotNull(), "unreadable page")).filter("raw IS NOT NULL OR reason IS NOT NULL")
 
 
 def bad_records(pages: DataFrame) -> DataFrame:
     """What could not be read: studies, by id, and whole pages, each with
-    its file, the reason and its text."""
-    studies = _parsed(pages).filter("bad").select(
+    its file, the reason and its text, from one scan."""
+    return _parsed(pages).filter("reason IS NOT NULL").select(
         F.get_json_object("raw", "$.protocolSection.identificationModule.nctId").alias("nct_id"),
-        "file", F.lit("unreadable study").alias("reason"), F.col("raw").alias("text"))
-    whole = pages.filter(F.col("studies").isNull() & F.col("_corrupt_record").isNotNull()).select(
-        F.lit(None).cast("string").alias("nct_id"), "file", F.lit("unreadable page").alias("reason"),
-        F.col("_corrupt_record").alias("text"))
-    return studies.unionByName(whole)
+        "file", "reason", F.coalesce("raw", "page_text").alias("text"))
+
+
+def ordered_studies(pages: DataFrame) -> DataFrame:
+    """Readable and unreadable studies in one pass: the flat columns, the place
+    (file, block, row, pos), and for unreadable ones the reason and text."""
+    keep = {"file": F.col("file"), "block": F.col("block"), "row": F.col("row"), "pos": F.col("pos"),
+            "reason": F.col("reason"), "text": F.when(F.col("reason").isNotNull(), F.coalesce("raw", "page_text"))}
+    return flatten_studies(_parsed(pages), keep=keep)
 
 
 def scan_json_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -71,9 +85,9 @@ def join_field(arr: Column, field: str, sep: str) -> Column:
     return F.concat_ws(sep, F.filter(vals, lambda v: v.isNotNull() & (v != "")))
 
 
-def flatten_studies(studies: DataFrame, with_profile_fields: bool = False) -> DataFrame:
+def flatten_studies(studies: DataFrame, with_profile_fields: bool = False, keep: dict[str, Column] | None = None) -> DataFrame:
     """J1 (+ J6): the 16 export columns, nct_id, enrollment, data_source and
-    the nested site list ``_locations``."""
+    the nested site list ``_locations``; ``keep`` adds columns."""
     interventions = _g("armsInterventionsModule.interventions")
     cols = [
         _g("identificationModule.organization.fullName").alias("org_name"),
@@ -108,7 +122,7 @@ def flatten_studies(studies: DataFrame, with_profile_fields: bool = False) -> Da
             _g("sponsorCollaboratorsModule.leadSponsor.name").alias("lead_sponsor_name"),
             _g("sponsorCollaboratorsModule.leadSponsor.class").alias("lead_sponsor_class"),
         ]
-    return studies.select(*cols)
+    return studies.select(*cols, *[c.alias(n) for n, c in (keep or {}).items()])
 
 
 def explode_locations(flat: DataFrame, key: str = "nct_id", with_position: bool = False) -> DataFrame:
@@ -158,14 +172,15 @@ def json_text_field(df: DataFrame, col: str, path: str, out: str) -> DataFrame:
 
 # -- landing pages built from the shared tables (test/bench input) -------------
 
-def build_pages(raw: DataFrame, locations: DataFrame, page_size: int = 100) -> DataFrame:
+def build_pages(raw: DataFrame, locations: DataFrame, page_size: int = 100, ordered: bool = False) -> DataFrame:
     """Nest raw study rows into page documents. Pages group studies by
-    ``source_row_index div page_size`` (at most ``page_size`` per page)."""
+    ``source_row_index div page_size`` (at most ``page_size`` per page);
+    ``ordered`` pages are written to files in that order."""
     def arr(c, rx):
         return F.split(F.col(c), rx)
     locs = locations.groupBy("source_row_index").agg(
-        F.collect_list(F.struct(F.col("facility"), F.col("city"), F.col("state"),
-                                F.col("country"), F.col("zip_code").alias("zip"))).alias("sites"))
+        F.array_sort(F.collect_list(F.struct(F.col("facility"), F.col("city"), F.col("state"),
+                                             F.col("country"), F.col("zip_code").alias("zip")))).alias("sites"))
     r = raw.join(locs, "source_row_index", "left")
     nct = F.concat(F.lit("NCT"), F.lpad(F.col("source_row_index").cast("string"), 8, "0"))
     names = arr("interventions", ", ")
@@ -204,6 +219,8 @@ def build_pages(raw: DataFrame, locations: DataFrame, page_size: int = 100) -> D
     pages = r.select(page.alias("page"), F.col("source_row_index").alias("k"), study).groupBy("page").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("k", "study"))), lambda s: s["study"])
         .alias("studies"))
+    if ordered:
+        pages = pages.orderBy("page")
     return pages.select("studies", F.lit(total).cast("long").alias("totalCount"),
                         F.concat(F.lit("p"), (F.col("page") + 1).cast("string")).alias("nextPageToken"))
 
