@@ -72,14 +72,22 @@ def strip_ws(c: str | Column) -> Column:
     return F.regexp_replace(_c(c), WS_EDGES, "")
 
 
+def among(c: str | Column, values: list[str]) -> Column:
+    """``c IN (values)``. A named column is one parsed expression: building a
+    literal object for each value and column costs a load seconds on the driver."""
+    if not isinstance(c, str):
+        return c.isin(values)
+    listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"`{c}` IN ({listed})")
+
+
 def null_hidden(c: str | Column, values: list[str] | None = None) -> Column:
     """Literal in the disguised-null list → null; null stays null."""
-    c = _c(c)
-    return F.when(~c.isin(values or HIDDEN_NULL_VALUES), c)
+    return F.when(~among(c, values or HIDDEN_NULL_VALUES), _c(c))
 
 
 def is_hidden_null(c: str | Column, values: list[str] | None = None) -> Column:
-    return F.coalesce(_c(c).isin(values or HIDDEN_NULL_VALUES), F.lit(False))
+    return F.coalesce(among(c, values or HIDDEN_NULL_VALUES), F.lit(False))
 
 
 def split_literal(c: str | Column, sep: str) -> Column:

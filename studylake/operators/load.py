@@ -13,7 +13,7 @@ import os
 import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,6 +216,19 @@ def read_warehouse(spark: SparkSession, paths: dict[str, str]) -> dict[str, Data
     return {t: spark.read.parquet(p) for t, p in paths.items()}
 
 
+def file_statistics(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """P1, D5, E5, L6 from the files' footers: rows, and least and greatest value of
+    number and date columns, without reading a row (PushedAggregation). The v2
+    reader that can push them down is set in a session of its own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for c in columns:
+        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    return own.read.parquet(*paths).agg(*aggs)
+
+
 def table_counts(tables: dict[str, DataFrame], rejected: dict[str, DataFrame] | None = None
                  ) -> DataFrame:
     """Per-table loaded and rejected row counts as rows (one small
@@ -244,6 +257,21 @@ def cascade_delete(tables: dict[str, DataFrame], doomed_study_ids: DataFrame) ->
     return out
 
 
+def write_bucketed(tables: dict[str, DataFrame], root: str, buckets: int, name: str, key: str = "study_id") -> dict[str, str]:
+    """E7 for the joins: each table hashed and sorted by ``key`` into so many
+    buckets, one file each, and named in the session's catalog as ``<name>_<table>``;
+    a join of two of them on the key needs no exchange. Returns table → catalog name."""
+    named = {t: f"{name}_{t}".replace("-", "_") for t in tables}
+
+    def write(table: str) -> None:
+        df = tables[table]
+        (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("compression", "zstd")
+         .option("path", os.path.join(root, "bucketed", table)).saveAsTable(named[table]))
+
+    side_by_side([partial(write, t) for t in tables])
+    return named
+
+
 class RunLog:
     """Pipeline-log rows, one per step, each appended to a Parquet table as
     the step ends, so a run that breaks off keeps its steps and all runs of a

@@ -6,7 +6,7 @@ task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_literal, split_ws, strip_ws
@@ -18,6 +18,19 @@ def tokens(column: str, sep: str | None):
     return F.filter(F.transform(parts, lambda x: strip_ws(x)), lambda x: x != "")
 
 
+def elements(df: DataFrame, arrays: dict[str, Column]) -> DataFrame:
+    """(column_name, value) of several columns in one scan: one array of pairs
+    a row, exploded once."""
+    empty = F.array().cast("array<struct<column_name:string,value:string>>")
+
+    def pairs_of(name: str, array: Column) -> Column:
+        pair = lambda v: F.struct(F.lit(name).alias("column_name"), v.cast("string").alias("value"))
+        return F.coalesce(F.transform(array, pair), empty)
+
+    pairs = [pairs_of(c, a) for c, a in arrays.items()]
+    return df.select(F.explode(F.concat(*pairs)).alias("e")).select("e.*")
+
+
 def split_multi_value(df: DataFrame, column: str, sep: str | None, out: str,
                       keys: tuple[str, ...] = ("source_row_index",)) -> DataFrame:
     """One row per token; tokens stripped, empty tokens dropped, token
@@ -46,16 +59,24 @@ def split_mesh(df: DataFrame, keys=("source_row_index",)) -> DataFrame:
     return split_multi_value(df, "mesh", ",", "mesh_term", keys)
 
 
-def split_summary(df: DataFrame, column: str, sep: str | None, out: str) -> DataFrame:
-    """Input rows (non-null), values after split, unique values — one
-    aggregate over an outer explode (rows without tokens keep one null row)."""
-    ex = df.select(F.col(column).isNotNull().alias("__nn"),
-                   F.posexplode_outer(tokens(column, sep)).alias("pos", out))
-    return ex.agg(
-        F.lit(column).alias("column_name"),
-        F.count_if(F.col("__nn") & F.coalesce(F.col("pos") == 0, F.lit(True))).alias("input_rows"),
-        F.count(out).alias("values"),
-        F.countDistinct(out).alias("unique_values"))
+def split_summaries(df: DataFrame, cols: dict[str, str | None]) -> DataFrame:
+    """Per column, input rows (non-null), values after split and unique values,
+    of all columns in one scan. A null element marks each input row, so rows
+    without tokens are counted too."""
+    mark = F.array(F.lit(None).cast("string"))
+    found = elements(df, {c: F.when(F.col(c).isNotNull(), F.concat(mark, tokens(c, sep))) for c, sep in cols.items()})
+    counted = found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    per = counted.groupBy("column_name").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("input_rows"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("values"), F.count("value").alias("unique_values"))
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    zero = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("input_rows", "values", "unique_values")]
+    return every.join(per, "column_name", "left").select("column_name", *zero)
+
+
+def split_summary(df: DataFrame, column: str, sep: str | None, out: str = "value") -> DataFrame:
+    """N6 of one column."""
+    return split_summaries(df.select(column), {column: sep})
 
 
 def extract_orgs(cleaned: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def check_valid_values(df: DataFrame, table: str, column: str, valid: list[str],
                        max_examples: int = 10) -> DataFrame:
     """D2 + D3: non-null values outside the valid set (warning), with up to
     ``max_examples`` distinct invalid values in sorted order."""
-    bad = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(valid)).select(column)
+    bad = df.filter(F.col(column).isNotNull() & ~TX.among(column, valid)).select(column)
     n = bad.agg(F.count(F.lit(1)).alias("failures"),
                 F.lit(None).cast("string").alias("examples"))
     ex = (bad.distinct().orderBy(column).limit(max_examples)
@@ -171,7 +171,7 @@ def invalid_examples(df: DataFrame, table: str, column: str, valid: list[str],
                      max_examples: int = 10) -> DataFrame:
     """D3 alone: up to ``max_examples`` distinct invalid values, sorted
     (distinct → top-k; never an unbounded collect)."""
-    bad = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(valid)).select(column)
+    bad = df.filter(F.col(column).isNotNull() & ~TX.among(column, valid)).select(column)
     ex = (bad.distinct().orderBy(column).limit(max_examples)
           .agg(F.concat_ws(", ", F.array_sort(F.collect_list(column))).alias("examples")))
     return ex.select(F.lit("valid_values").alias("check_name"), F.lit(table).alias("table_name"),
@@ -184,7 +184,7 @@ def studies_checks(studies: DataFrame) -> DataFrame:
     only the checked columns)."""
     specs = [("not_null", c, "error", F.count_if(F.col(c).isNull()))
              for c in ("brief_title", "study_type")]
-    specs += [("valid_values", c, "warning", F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(v)))
+    specs += [("valid_values", c, "warning", F.count_if(F.col(c).isNotNull() & ~TX.among(c, v)))
               for c, v in STUDY_ENUMS]
     specs.append(("date_range", "start_date", "warning",
                   F.when(F.count("start_date") == 0, 1).otherwise(0)))

@@ -2,8 +2,8 @@
 
 Every top-k carries a full tie-break so results are deterministic; the
 window totals run over the aggregated (small) result only. Joins are
-fact ⋈ bridge on study_id (shuffled, both large) or fact ⋈ organizations
-(dimension, broadcast when its size is proven small)."""
+fact ⋈ bridge on study_id (both large; without a shuffle over tables written
+by ``load.write_bucketed``) or fact ⋈ organizations, by the planner's choice."""
 
 from __future__ import annotations
 

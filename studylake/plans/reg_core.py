@@ -148,11 +148,7 @@ WHERE v <> ''""")
 
 @register("split_summary", _summary_sql())
 def split_summary(spark, sf_dir):
-    from functools import reduce
-    c = C.clean_raw(R(spark, sf_dir))
-    parts = [N.split_summary(c, "conditions", ",", "v"), N.split_summary(c, "interventions", ",", "v"),
-             N.split_summary(c, "standard_age", None, "v"), N.split_summary(c, "mesh", ",", "v")]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return N.split_summaries(C.clean_raw(R(spark, sf_dir)), {"conditions": ",", "interventions": ",", "standard_age": None, "mesh": ","})
 
 
 @register("extract_orgs", O.with_w("SELECT org_name, org_class, first_row_index FROM orgs_all"))

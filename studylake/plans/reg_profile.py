@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from .. import oracles as O
 from ..operators import profile as P
+from ..session import staging_path
 from ..sources import fixtures
 from .registry import R, register
 
@@ -257,3 +260,20 @@ def _uniq_sql():
 @register("prof_uniques", _uniq_sql())
 def prof_uniques(spark, sf_dir):
     return P.uniques(R(spark, sf_dir))
+
+
+@register("unique_sketches", O.with_raw("""
+SELECT 'unique_org_name' AS metric, COUNT(DISTINCT org_name) AS n, true AS within_bound FROM raw
+UNION ALL SELECT 'unique_mesh', COUNT(DISTINCT trim(t)), true FROM (SELECT unnest(string_split(mesh, ',')) AS t FROM raw)
+UNION ALL SELECT 'unique_study_type', COUNT(DISTINCT study_type), true FROM raw"""))
+def unique_sketches(spark, sf_dir):
+    """P21 by increments: sketches of three runs, stored and merged, against the
+    exact counts; the bound is four standard errors."""
+    raw = R(spark, sf_dir)
+    path = os.path.join(staging_path(spark, "sketches"), "sketches")
+    for run in range(3):
+        P.unique_sketches(raw.filter(F.col("source_row_index") % 3 == run), f"run-{run}").write.mode("append").parquet(path)
+    exact = P.uniques(raw).filter(F.col("metric").isin("unique_org_name", "unique_mesh", "unique_study_type"))
+    error = F.abs(F.col("n_estimate") - F.col("n")) / F.col("n")
+    return exact.join(P.merged_uniques(spark.read.parquet(path)), "metric").select(
+        "metric", "n", (error <= 4 * 1.04 / 2 ** (P.SKETCH_K / 2)).alias("within_bound"))

@@ -184,6 +184,22 @@ def dq_max_length(spark, sf_dir):
     return Q.contract_max_length(_w_tables(W(spark, sf_dir)))
 
 
+@register("dq_faults", O.with_w("""
+SELECT 'contract_not_null' AS check_name, 'studies' AS table_name, 'brief_title' AS column_name, 'error' AS severity, COUNT(*) AS failures
+FROM studies WHERE study_id % 3 <> 0 AND study_id % 7 = 0
+UNION ALL SELECT 'max_length', 'organizations', 'org_name', 'error', COUNT(*) FROM organizations WHERE org_id % 5 = 0
+UNION ALL SELECT 'foreign_key', 'study_conditions', 'study_id', 'error', COUNT(*) FROM study_conditions WHERE study_id % 3 = 0""",
+                            bridges=("study_conditions",)))
+def dq_faults(spark, sf_dir):
+    """D8–D10 on tables with faults: titles missing, names too long, studies gone
+    whose conditions stay. Only failing checks are returned."""
+    w = W(spark, sf_dir)
+    studies = w.studies.filter("study_id % 3 <> 0").withColumn("brief_title", F.when(F.col("study_id") % 7 != 0, F.col("brief_title")))
+    orgs = w.organizations.withColumn("org_name", F.when(F.col("org_id") % 5 == 0, F.repeat(F.lit("x"), 501)).otherwise(F.col("org_name")))
+    checks = Q.contract({"organizations": orgs, "studies": studies, "study_conditions": w.table("study_conditions")})
+    return checks.filter("failures > 0").drop("examples")
+
+
 @register("dq_completed_no_start", O.with_w(
     "SELECT COUNT(*) FILTER (WHERE overall_status = 'COMPLETED' AND start_date IS NULL) AS failures FROM studies"))
 def dq_completed_no_start(spark, sf_dir):

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import CSV_NA_STRINGS
+from ..functions.text import CSV_NA_STRINGS, among
 from ..schemas import RAW_HEADERS, REQUIRED_CSV_HEADERS
 
 INDEX_COL_RX = re.compile(r"^(Unnamed.*|_c\d+)?$")
@@ -71,7 +71,7 @@ def require_columns(df: DataFrame, required: list[str]) -> None:
 def null_na_strings(df: DataFrame, cols: list[str]) -> DataFrame:
     """The reader-level NA strings → null, untrimmed."""
     cs = set(cols)
-    return df.select(*[F.when(~F.col(c).isin(CSV_NA_STRINGS), F.col(c)).alias(c) if c in cs
+    return df.select(*[F.when(~among(c, CSV_NA_STRINGS), F.col(c)).alias(c) if c in cs
                        else F.col(c) for c in df.columns])
 
 
