@@ -16,7 +16,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Bound of each worker's tables, in entries.
-MAX_ENTRIES = 80_000
+MAX_ENTRIES = 120_000
 
 #: Letters whose lower case is one letter and that no normal form changes,
 #: then ASCII marks without the apostrophe (which starts pre-tokens of its own).
