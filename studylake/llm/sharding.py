@@ -32,10 +32,12 @@ TEXT_BITS, ID_BITS = 38, 25
 KEY_BITS = TEXT_BITS + ID_BITS
 #: Candidate boundaries: 2^12 in the first pass, 2^9 more inside each interval that holds a splitter.
 FIRST_BITS, MORE_BITS = 12, 9
-#: A splitter may miss its target by this part of a shard; one between the ranges of a shard by more.
-TOLERANCE, LOOSE = 0.0005, 0.2
-#: Bytes and rows of a range inside a shard, about.
-RANGE_BYTES, RANGE_ROWS = 64 << 20, 250_000
+#: A splitter may miss its target by this part of a shard.
+TOLERANCE = 0.0005
+#: Rows of a range inside a shard, about, and how many times these make it hot.
+RANGE_ROWS, HOT = 250_000, 4
+#: Bits of the id that cut a hot text.
+SPREAD_BITS = 14
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -47,9 +49,8 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), key.alias("key"))
 
 
-def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tuple[list[int], list[int], list[int]]:
-    """Boundaries in key order: the first key of each range but the first, the
-    rows below each, and the shard of each range."""
+def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tuple[list[int], int]:
+    """The first key of each shard but the first, and the number of rows."""
     def counted(frame: DataFrame, shift: int) -> list[tuple[int, int, int, int]]:
         found = (frame.groupBy(F.shiftright("key", shift).alias("cell"))
                  .agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect())
@@ -58,21 +59,20 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tup
     cells = sorted(counted(rows, KEY_BITS - FIRST_BITS))
     total, n_rows = sum(c[2] for c in cells), sum(c[3] for c in cells)
     if not total:
-        return [], [], [0]
-    per_shard = max(1, round(total / shards / RANGE_BYTES), round(n_rows / shards / RANGE_ROWS))
-    targets = [(total * i / (shards * per_shard), i % per_shard == 0) for i in range(1, shards * per_shard)]
+        return [], 0
+    targets = [total * i / shards for i in range(1, shards)]
     while True:
         below, at = [0], 0
         for c in cells:
             at += c[2]
             below.append(at)
         coarse: set[tuple[int, int]] = set()
-        for goal, main in targets:
+        for goal in targets:
             i = bisect_right(below, goal) - 1
             if i >= len(cells) or not cells[i][1]:
                 continue
             miss = min(goal - below[i], below[i + 1] - goal)
-            if miss > (tolerance if main else LOOSE / per_shard) * total / shards:
+            if miss > tolerance * total / shards:
                 coarse.add(cells[i][:2])
         if not coarse:
             break
@@ -82,21 +82,16 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> tup
             # at most one cell for each boundary, so the list is bounded
             refined += counted(rows.filter(F.shiftright("key", shift).isin(inside)), max(0, shift - MORE_BITS))
         cells = sorted([c for c in cells if c[:2] not in coarse] + refined)
-    below, rows_below = [0], [0]
+    below = [0]
     for c in cells:
         below.append(below[-1] + c[2])
-        rows_below.append(rows_below[-1] + c[3])
-    cuts, cut_rows, shard_of, shard = [], [], [0], 0
-    for i, (goal, main) in enumerate(targets, 1):
+    cuts = []
+    for goal in targets:
         k = min(max(bisect_right(below, goal) - 1, 0), len(cells) - 1)
         if below[k + 1] - goal < goal - below[k]:
             k += 1
-        first = cells[k][0] if k < len(cells) else (1 << KEY_BITS) - 1
-        shard = i // per_shard
-        cuts.append(first)
-        cut_rows.append(rows_below[k])
-        shard_of.append(shard)
-    return cuts, cut_rows, shard_of
+        cuts.append(cells[k][0] if k < len(cells) else (1 << KEY_BITS) - 1)
+    return cuts, n_rows
 
 
 def _place(key: Column, cuts: list[int]) -> Column:
@@ -111,19 +106,30 @@ def _place(key: Column, cuts: list[int]) -> Column:
     return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get(table, at + half - 1) <= key, at + half).otherwise(at))
 
 
+def ranges(placed: DataFrame, n_rows: int) -> DataFrame:
+    """Adds ``range``: the key's prefix, as long as RANGE_ROWS ask for, and longer in
+    hot prefixes. Ranges follow the order of keys. Hot prefixes are at most
+    n_rows / (HOT * RANGE_ROWS)."""
+    fine = ID_BITS - SPREAD_BITS  # the bits that the longest prefix leaves out
+    bits = min(TEXT_BITS, max(0, (n_rows // RANGE_ROWS).bit_length()))
+    prefix = F.shiftright("key", KEY_BITS - bits)
+    if n_rows <= HOT * RANGE_ROWS:  # no prefix can be hot
+        return placed.withColumn("range", prefix)
+    hot = placed.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n")).filter(F.col("n") > HOT * RANGE_ROWS).select("prefix")
+    marked = placed.withColumn("prefix", prefix).join(F.broadcast(hot.withColumn("hot", F.lit(True))), "prefix", "left")
+    whole = F.shiftleft("prefix", KEY_BITS - bits - fine)
+    return marked.withColumn("range", F.when(F.col("hot"), F.shiftright("key", fine)).otherwise(whole)).drop("prefix", "hot")
+
+
 def shard(docs: DataFrame, shards: int = 40, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per document: its shard by near equal bytes, and its slot there."""
     rows = staged(keyed(docs), "shard-keys")
-    cuts, cut_rows, shard_of = splitters(rows, shards, tolerance)
-    numbers = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
-    placed = rows.withColumn("range", _place(F.col("key"), cuts))
-    number = F.row_number().over(Window.partitionBy("range").orderBy("key", "doc_id", "size", "text_crc32")) - 1
-    rows_below, first = [0, *cut_rows], {}
-    for r, s in enumerate(shard_of):
-        first.setdefault(s, rows_below[r])
-    shift = [rows_below[r] - first[s] for r, s in enumerate(shard_of)]
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
-        F.get(numbers(shard_of), F.col("range")).cast("int").alias("shard"),
-        (number + F.get(numbers(shift), F.col("range"))).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+    cuts, n_rows = splitters(rows, shards, tolerance)
+    placed = ranges(rows.withColumn("shard", _place(F.col("key"), cuts)), n_rows)
+    before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (placed.groupBy("shard", "range").agg(F.count("*").alias("n"))
+              .select("shard", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))  # over ranges, not rows
+    number = F.row_number().over(Window.partitionBy("shard", "range").orderBy("key", "doc_id", "size", "text_crc32")) - 1
+    return placed.withColumn("number", number).join(counts, ["shard", "range"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+        (F.col("number") + F.col("before")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

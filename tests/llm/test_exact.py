@@ -104,6 +104,20 @@ def test_sharding_splits_a_hot_text(spark):
     assert len(size) == 40 and max(abs(v - mean) for v in size.values()) < 0.01 * mean
 
 
+def test_sharding_numbers_hot_ranges_in_key_order(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 200)
+    df = spark.range(6_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(
+        F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+    key = {r["doc_id"]: r["key"] for r in sharding.keyed(df).collect()}
+    slots = defaultdict(dict)
+    for r in sharding.shard(df, shards=5).collect():
+        slots[r["shard"]][r["slot"]] = key[r["doc_id"]]
+    in_order = [slots[s][i] for s in range(5) for i in range(len(slots[s]))]  # gapless, sorted within and over shards
+    assert in_order == sorted(key.values())
+    own = sharding.ranges(sharding.keyed(df).withColumn("shard", F.lit(0)), 6_000).groupBy("range").count()
+    assert own.agg(F.max("count")).first()[0] < 1000  # the hot text has 2,000 rows
+
+
 def test_mixing_meets_targets(docs, texts):
     rows = mixing.mix(docs).collect()
     again = {(r["doc_id"], r["taken"]) for r in mixing.mix(docs.repartition(7)).collect()}
