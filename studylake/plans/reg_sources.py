@@ -213,8 +213,9 @@ WHERE contains(conditions, 'Brand#1') AND overall_status = 'COMPLETED'
   AND list_contains(string_split(phases, ', '), 'PHASE3')"""))
 def json_filter(spark, sf_dir):
     """Condition substring + exact status + phase membership."""
-    f = J.filter_studies(_flat(spark, sf_dir), condition="Brand#1", status="COMPLETED", phase="PHASE3")
-    return f.select("nct_id", "overall_status", "conditions", "phases")
+    studies = J.scan_json_pages(spark, _landed_pages(spark, sf_dir))
+    f = J.filter_studies(studies, condition="Brand#1", status="COMPLETED", phase="PHASE3")
+    return J.flatten_studies(f).select("nct_id", "overall_status", "conditions", "phases")
 
 
 @register("json_limit", O.with_raw(f"SELECT nct_id, brief_title FROM ({FLAT_SQL}) ORDER BY nct_id LIMIT 500"))

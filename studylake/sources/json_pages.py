@@ -135,18 +135,18 @@ def explode_locations(flat: DataFrame, key: str = "nct_id", with_position: bool
         F.col("loc.zip").alias("zip_code"))
 
 
-def filter_studies(flat: DataFrame, condition: str | None = None, status: str | None = None,
+def filter_studies(studies: DataFrame, condition: str | None = None, status: str | None = None,
                    phase: str | None = None) -> DataFrame:
-    """Source-side filters: condition substring, exact status, phase
-    membership (exact/substring match only)."""
-    out = flat
+    """Source-side filters on the parsed studies, before they are flattened:
+    condition substring (within one condition, which may hold a comma), exact
+    status, phase membership."""
+    out = studies
     if condition:
-        # within one condition, never across the join of two
-        out = out.filter(F.exists(F.split("conditions", ", "), lambda c: c.contains(condition)))
+        out = out.filter(F.exists(_g("conditionsModule.conditions"), lambda c: c.contains(condition)))
     if status:
-        out = out.filter(F.col("overall_status") == status)
+        out = out.filter(_g("statusModule.overallStatus") == status)
     if phase:
-        out = out.filter(F.array_contains(F.split(F.col("phases"), ", "), phase))
+        out = out.filter(F.array_contains(_g("designModule.phases"), phase))
     return out
 
 

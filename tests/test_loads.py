@@ -21,6 +21,7 @@ from studylake.schemas import RAW_HEADERS, TABLE_TYPES
 from studylake.session import staging_path
 from studylake.sources import csv as CSV
 from studylake.sources import fixtures
+from studylake.sources import json_pages as J
 from studylake.sources import union as U
 from studylake.streaming.ingest import State, stream_pages, stream_upsert
 
@@ -245,6 +246,14 @@ def test_contract_defaults(spark):
         (False, "api", now), (True, "csv", now)]
 
 
+def test_filters_look_at_single_conditions(spark):
+    base = staging_path(spark, "t-filter")
+    pages = land_pages(spark, base, [study(1, conditions=("Pain, chronic", "Flu")), study(2, conditions=("Pain", "chronic")), study(3, conditions=())])
+    found = J.filter_studies(J.scan_json_pages(spark, pages), condition="Pain, chronic", status="COMPLETED")
+    assert rows(J.flatten_studies(found), "nct_id") == [("N1",)]
+    assert J.filter_studies(J.scan_json_pages(spark, pages), phase="PHASE1").count() == 0
+
+
 # -- sizing ----------------------------------------------------------------------
 
 def test_partitions_follow_known_bytes(spark):
