@@ -1,10 +1,13 @@
 """Quality rules as weak supervision.
 
-Each rule votes bad (0), good (1) or abstains (-). A two-class model with one
-error rate per rule and class is fitted by expectation-maximisation on the
-counts of vote patterns, and a document is kept when the posterior probability
-of the good class reaches one half. The fit needs no labels. Only the pattern
-counts reach the driver: at most 3^8 rows whatever the corpus size.
+Each rule votes bad (0), good (1) or abstains (-). A model with one class of good
+documents and one kind of bad ones a rule is fitted by expectation-maximisation on
+the counts of vote patterns, and a document is kept when the posterior probability
+of the good class reaches one half. One bad vote rejects a document as long as its
+rule is trusted; a rule that blames more than about a fifth of the corpus with no
+other rule on its side is found unreliable, and its bad vote alone rejects nothing.
+The fit needs no labels. Only the pattern counts reach the driver: at most 3^8 rows
+whatever the corpus size.
 
 Nulls and odd rows: a null text counts as empty; an empty text has no words and
 fails the base rules; a null doc_id is carried through; every input row gives
@@ -21,13 +24,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from studylake.llm import words as W
-from studylake.llm.common import fresh
+from studylake.llm.common import fresh, staged
 
 WINDOW = 5
 #: The variety rule's share of distinct words is taken in spans of so many words.
 SPAN = 2000
-#: Bounds on a rule's rates: bad votes on good documents at most, on bad ones at least.
-MAX_FALSE_BLAME, MIN_FOUND = 0.002, 0.05
+#: Prior means: part of the documents that is bad, shared by the kinds; chance that a
+#: rule blames its own kind, another kind, a good document.
+P_BAD, FOUND, ALSO_FOUND, FALSE_BLAME = 0.2, 0.9, 0.1, 0.002
+#: Weights of these priors, in corpora; with them a rule that alone blames more than
+#: about a fifth of the corpus is distrusted.
+CLASS_WEIGHT, FOUND_WEIGHT, BLAME_WEIGHT, WEAK, SILENT_WEIGHT = 2.0, 0.1, 1.0, 0.01, 0.2
 RULES = ("length", "symbols", "repeats", "lines", "capitals", "shouting", "word_length", "variety")
 
 _SYMBOL = np.zeros(256, bool)
@@ -136,34 +143,79 @@ def _measured(texts: pd.Series) -> pd.DataFrame:
     return measure(texts)
 
 
+def _em(n: np.ndarray, v: np.ndarray, false_blame: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
+    """Expectation-maximisation from the given chances that a rule blames a good
+    document: the good class's probability of each pattern, and the log posterior.
+
+    Bad documents come in unlike kinds, one a rule, which that rule mostly finds
+    and the others sometimes. A vote is drawn in two steps, bad or not, then good
+    or abstaining. Every chance has a Beta prior (the classes a Dirichlet prior)
+    that weighs a constant times the corpus, so a corpus and ten copies of it
+    give the same answer."""
+    rules, total = v.shape[1], n.sum()
+    expect = np.vstack([np.full(rules, FALSE_BLAME), np.where(np.eye(rules, dtype=bool), FOUND, ALSO_FOUND)])
+    weigh = np.vstack([np.full(rules, BLAME_WEIGHT), np.where(np.eye(rules, dtype=bool), FOUND_WEIGHT, WEAK)]) * total
+    share = np.r_[1 - P_BAD, np.full(rules, P_BAD / rules)]
+    is_bad, is_silent = (v == 0).T, (v == 2).T
+    # abstaining says little by itself: each class starts from the corpus's share
+    quiet = np.tile((is_silent @ n + 1) / (~is_bad @ n + 2), (rules + 1, 1))
+    hush = SILENT_WEIGHT * total
+    blamed, classes, silent = expect.copy(), share.copy(), quiet.copy()
+    blamed[0] = false_blame
+
+    def per_pattern() -> np.ndarray:
+        other = np.where(is_silent, np.log(silent)[:, :, None], np.log1p(-silent)[:, :, None])
+        vote = np.where(is_bad, np.log(blamed)[:, :, None], np.log1p(-blamed)[:, :, None] + other)
+        return np.log(classes)[:, None] + vote.sum(1)
+
+    def posteriors(log: np.ndarray) -> np.ndarray:
+        out = np.exp(log - log.max(0))
+        return out / out.sum(0)
+
+    for _ in range(rounds):
+        weight = posteriors(per_pattern()) * n
+        each = weight.sum(1)
+        bad, none = weight @ is_bad.T, weight @ is_silent.T
+        classes = (each + CLASS_WEIGHT * total * share) / (total * (1 + CLASS_WEIGHT))
+        blamed = (bad + weigh * expect) / (each[:, None] + weigh)
+        silent = (none + hush * quiet) / (each[:, None] - bad + hush)
+    log = per_pattern()
+    top = log.max(0)
+    goal = (n * (top + np.log(np.exp(log - top).sum(0)))).sum()
+    goal += (weigh * (expect * np.log(blamed) + (1 - expect) * np.log1p(-blamed))).sum()
+    goal += hush * (quiet * np.log(silent) + (1 - quiet) * np.log1p(-silent)).sum()
+    goal += CLASS_WEIGHT * total * (share * np.log(classes)).sum()
+    return posteriors(log)[0], float(goal)
+
+
 def fit(patterns: dict[str, int], rounds: int = 60) -> dict[str, float]:
     """Posterior probability of the good class for each vote pattern.
 
-    The start says that a bad vote is rare for good documents and common for
-    bad ones; expectation-maximisation then estimates each rule's rates."""
+    The estimated rates have priors, not bounds. The first fit trusts every
+    rule. Then one rule at a time is distrusted, that is, expectation-maximisation
+    begins with a chance of false blame equal to its share of bad votes; the
+    distrust that raises the log posterior most stays, until none raises it.
+    So a rule that blames a large part of the corpus, with no other rule on its
+    side, loses its say, and one that blames few documents keeps it."""
     if not patterns:
         return {}
     keys = sorted(patterns)
     n = np.array([patterns[k] for k in keys], float)
     v = np.array([[{"0": 0, "1": 1, "-": 2}[c] for c in k] for k in keys])
-    # rate[class, rule, vote] among cast votes, class 1 is good; abstaining says nothing
-    rate = np.ones((2, v.shape[1], 3))
-    rate[0, :, :2], rate[1, :, :2] = (0.3, 0.7), (MAX_FALSE_BLAME, 1 - MAX_FALSE_BLAME)
-    prior = np.array([0.2, 0.8])
-    for _ in range(rounds):
-        log = np.log(prior)[:, None] + sum(np.log(rate[:, r, :])[:, v[:, r]] for r in range(v.shape[1]))
-        post = np.exp(log - log.max(0))
-        post /= post.sum(0)
-        weight = post * n
-        prior = (weight.sum(1) + 1) / (weight.sum() + 2)
-        # what is assumed of every rule: it seldom blames a good document, and
-        # it finds its share of the bad ones, which come in unlike kinds
-        for r in range(v.shape[1]):
-            bad, good = weight[:, v[:, r] == 0].sum(1), weight[:, v[:, r] == 1].sum(1)
-            blamed = (bad + 0.05) / (bad + good + 0.1)
-            blamed = np.clip(blamed, (MIN_FOUND, 1e-6), (1 - 1e-6, MAX_FALSE_BLAME))
-            rate[:, r, 0], rate[:, r, 1] = blamed, 1 - blamed
-    return dict(zip(keys, post[1].tolist(), strict=True))
+    share = np.clip((n[:, None] * (v == 0)).sum(0) / n.sum(), FALSE_BLAME, 1 - FALSE_BLAME)
+
+    def start(distrusted: frozenset[int]) -> np.ndarray:
+        return np.array([share[r] if r in distrusted else FALSE_BLAME for r in range(len(share))])
+
+    chosen: frozenset[int] = frozenset()
+    good, best = _em(n, v, start(chosen), rounds)
+    while True:
+        tries = [chosen | {r} for r in range(len(share)) if r not in chosen and share[r] > FALSE_BLAME]
+        found = [(*_em(n, v, start(c), rounds), c) for c in tries]
+        found = [f for f in found if f[1] > best + 1e-6 * n.sum()]
+        if not found:
+            return dict(zip(keys, good.tolist(), strict=True))
+        good, best, chosen = max(found, key=lambda f: f[1])
 
 
 def posterior(measured: DataFrame, votes: str) -> dict[str, float]:
@@ -185,7 +237,8 @@ def _base_failed(m: Column) -> Column:
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per document: base counts, base_failed, p_good and kept."""
-    m = docs.select("doc_id", _measured("text").alias("m"))
+    # texts are measured once; the measures are small
+    m = staged(docs.select("doc_id", _measured("text").alias("m")), "rule-measures")
     p = _lookup(F.col("m.votes"), posterior(m.select(F.col("m.votes").alias("votes")), "votes"))
     failed = _base_failed(F.col("m"))
     return m.select(

@@ -324,6 +324,73 @@ def test_quality_rules(spark, docs, texts):
     assert wrong <= 2
 
 
+def plain_em(patterns, false_blame, rounds):
+    """The model of quality_rules, one document class, rule and pattern at a time."""
+    q = quality_rules
+    rules, total = len(false_blame), sum(patterns.values())
+    said = lambda j, c: sum(n for k, n in patterns.items() if k[j] == c)
+    quiet = [(said(j, "-") + 1) / (said(j, "1") + said(j, "-") + 2) for j in range(rules)]
+    share = [1 - q.P_BAD] + [q.P_BAD / rules] * rules
+    mean = [[q.FALSE_BLAME] * rules] + [[q.FOUND if j == k else q.ALSO_FOUND for j in range(rules)] for k in range(rules)]
+    weigh = [[q.BLAME_WEIGHT] * rules] + [[q.FOUND_WEIGHT if j == k else q.WEAK for j in range(rules)] for k in range(rules)]
+    blamed, silent, classes = [list(false_blame), *map(list, mean[1:])], [list(quiet) for _ in share], list(share)
+
+    def chance(c, key):
+        out = classes[c]
+        for j, x in enumerate(key):
+            b, s = blamed[c][j], silent[c][j]
+            out *= b if x == "0" else (1 - b) * (s if x == "-" else 1 - s)
+        return out
+
+    for _ in range(rounds):
+        of = {k: [n * chance(c, k) / sum(chance(d, k) for d in range(rules + 1)) for c in range(rules + 1)] for k, n in patterns.items()}
+        for c in range(rules + 1):
+            each = sum(x[c] for x in of.values())
+            classes[c] = (each + q.CLASS_WEIGHT * total * share[c]) / (total * (1 + q.CLASS_WEIGHT))
+            for j in range(rules):
+                bad = sum(x[c] for k, x in of.items() if k[j] == "0")
+                none = sum(x[c] for k, x in of.items() if k[j] == "-")
+                w, h = weigh[c][j] * total, q.SILENT_WEIGHT * total
+                blamed[c][j] = (bad + w * mean[c][j]) / (each + w)
+                silent[c][j] = (none + h * quiet[j]) / (each - bad + h)
+    return {k: chance(0, k) / sum(chance(c, k) for c in range(rules + 1)) for k in patterns}
+
+
+def test_expectation_maximisation_equals_a_plain_version():
+    patterns = {"111": 700, "011": 60, "101": 31, "001": 40, "1-1": 90, "-10": 12, "--0": 3, "0--": 8}
+    keys = sorted(patterns)
+    n = np.array([patterns[k] for k in keys], float)
+    v = np.array([["01-".index(c) for c in k] for k in keys])
+    for start, rounds in (([0.002] * 3, 1), ([0.002] * 3, 7), ([0.11, 0.002, 0.02], 30)):
+        good, _ = quality_rules._em(n, v, np.array(start), rounds)
+        want = plain_em(patterns, start, rounds)
+        assert np.allclose(good, [want[k] for k in keys])
+    goals = [quality_rules._em(n, v, np.array([0.002] * 3), r)[1] for r in range(12)]
+    assert all(b >= a - 1e-9 for a, b in zip(goals, goals[1:]))  # no round lowers the log posterior
+
+
+def votes_with(at, part):
+    """10,000 documents: four kinds of bad ones, and one rule that blames a part of all at random."""
+    of = {"1" * 8: 8500, "10111111": 600, "11011110": 400, "1101001-": 400, "-1111111": 100}
+    out = Counter()
+    for k, c in of.items():
+        out[k] += round(c * (1 - part))
+        out[k[:at] + "0" + k[at + 1:]] += round(c * part)
+    return dict(out)
+
+
+@pytest.mark.parametrize("at", [0, 3, 5, 6])
+def test_the_posterior_overrules_an_unreliable_rule(at):
+    alone = "1" * at + "0" + "1" * (7 - at)
+    trusted, noisy = quality_rules.fit(votes_with(at, 0.05)), quality_rules.fit(votes_with(at, 0.35))
+    assert trusted[alone] < 0.5 <= noisy[alone]
+    for p in (trusted, noisy):
+        assert p["1" * 8] >= 0.5 and p["-1111111"] >= 0.5
+        assert all(p[k] < 0.5 for k in ("10111111", "11011110", "1101001-") if k[at] != "0")
+    tenfold = quality_rules.fit({k: 10 * c for k, c in votes_with(at, 0.35).items()})
+    assert all(abs(tenfold[k] - noisy[k]) < 1e-3 for k in noisy)
+
+
 def test_variety_does_not_depend_on_length():
     rng = random.Random(8)
     few, many = [f"w{i}" for i in range(100)], [f"w{i}" for i in range(2500)]
