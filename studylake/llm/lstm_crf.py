@@ -89,6 +89,22 @@ def marginals(e: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return a, b, z, np.exp(a + b - z[:, None, None])
 
 
+def posteriors(e: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Label probabilities of sequences of any length: forward and backward
+    scores are normalised at each step, so they stay small."""
+    length = e.shape[1]
+    a, b = np.empty_like(e), np.zeros_like(e)
+    a[:, 0] = e[:, 0] - _lse(e[:, 0], 1)[:, None]
+    for t in range(1, length):
+        step = _lse(a[:, t - 1][:, :, None] + move[None], 1) + e[:, t]
+        a[:, t] = step - _lse(step, 1)[:, None]
+    for t in range(length - 2, -1, -1):
+        step = _lse(move[None] + (e[:, t + 1] + b[:, t + 1])[:, None, :], 2)
+        b[:, t] = step - _lse(step, 1)[:, None]
+    both = a + b
+    return np.exp(both - _lse(both, 2)[:, :, None])
+
+
 def viterbi(e: np.ndarray, move: np.ndarray) -> np.ndarray:
     """Best label paths (batch, length)."""
     n, length, k = e.shape
@@ -98,6 +114,7 @@ def viterbi(e: np.ndarray, move: np.ndarray) -> np.ndarray:
         cand = best[:, :, None] + move[None]
         back[:, t] = cand.argmax(1)
         best = cand.max(1) + e[:, t]
+        best = best - best.max(1, keepdims=True)  # scores of long sequences stay small
     path = np.empty((n, length), np.int64)
     path[:, -1] = best.argmax(1)
     rows = np.arange(n)

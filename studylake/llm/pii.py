@@ -7,8 +7,13 @@ text, overlapping windows are scored wherever a window holds a digit or an @
 (each of the four kinds must hold one, so a window without either has no span);
 the scores of overlapping windows are averaged, weighted towards each window's
 middle, and each stretch of joined windows is decoded as one sequence, so a
-span may cross windows. Decoded spans that no base span touches, that the model
-is sure of and that obey their kind's arithmetic are added; base spans stay.
+span may cross windows. A long stretch is decoded in segments of 2,048
+characters with 256 more on either side, and a span counts where its start is
+in the segment's own part; so all arrays are bounded, whatever the text's
+length, and the whole text is decoded (an added span of more than 256 characters
+could be cut at a segment's end). Decoded spans that no base span touches, that
+the model is sure of and that obey their kind's arithmetic are added; base spans
+stay.
 
 Nulls and odd rows: a null text counts as empty and has no spans; a null doc_id
 is carried through; each input row gives one output row, repeated rows
@@ -20,6 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -39,7 +46,9 @@ EPOCHS, SEED = 10, 11
 #: Least probability of every label of an added span.
 SURE = 0.8
 #: Windows scored at once; characters decoded at once.
-BATCH = 1024
+BATCH, DECODED = 1024, 1 << 16
+#: Windows of a segment's own part, and further ones on either side.
+OWN, BESIDE = 64, 8
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -115,15 +124,16 @@ def label(n: int, spans: list[Span]) -> np.ndarray:
 
 def window_starts(text: str) -> np.ndarray:
     """Starts of the windows that hold a digit or an @; windows tile the whole text."""
-    at = np.array([m.start() for m in _TRIGGER.finditer(text)], np.int64)
-    if not len(at):
-        return at
-    last = at // STEP
-    starts = np.unique(np.concatenate([last - back for back in range(-(-WINDOW // STEP))]))
-    starts = starts[starts >= 0] * STEP
-    # a window must really reach one
-    first = np.searchsorted(at, starts)
-    return starts[(first < len(at)) & (at[np.minimum(first, len(at) - 1)] < starts + WINDOW)]
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    unit = np.gcd(WINDOW, STEP)
+    held = np.zeros((-(-len(code) // unit) + WINDOW // unit, unit), bool)
+    held.reshape(-1)[:len(code)] = ((code >= 48) & (code <= 57)) | (code == 64)
+    held = held.any(1)
+    n = -(-len(code) // STEP)
+    reach = np.zeros(n, bool)
+    for k in range(WINDOW // unit):
+        reach |= held[k:k + n * (STEP // unit):STEP // unit][:n]
+    return np.flatnonzero(reach) * STEP
 
 
 def _window(codes: np.ndarray, start: int) -> np.ndarray:
@@ -187,13 +197,26 @@ def fit(docs: DataFrame) -> N.Params:
     return {k: v.astype(np.float32) for k, v in p.items()}
 
 
-def _stretches(starts: np.ndarray, n: int) -> list[tuple[int, int, int, int]]:
-    """Runs of windows that overlap: first and last window, first and end character."""
+Segment = tuple[np.ndarray, int, int, int, int]  # window starts, first and end character, own part's
+
+
+def _segments(starts: np.ndarray, n: int) -> list[Segment]:
+    """Runs of windows that overlap, long ones in pieces."""
     if not len(starts):
         return []
     cut = np.flatnonzero(np.diff(starts) > WINDOW - 1) + 1
     edges = np.concatenate([[0], cut, [len(starts)]])
-    return [(int(a), int(b), int(starts[a]), int(min(n, starts[b - 1] + WINDOW))) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    out = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        first, end = int(starts[a]), int(min(n, starts[b - 1] + WINDOW))
+        if b - a <= OWN + 2 * BESIDE:
+            out.append((starts[a:b], first, end, first, end))
+            continue
+        for c in range(a, b, OWN):
+            own = starts[max(a, c - BESIDE):min(b, c + OWN + BESIDE)]
+            out.append((own, int(own[0]), int(min(n, own[-1] + WINDOW)), int(starts[c]),
+                        int(starts[c + OWN]) if c + OWN < b else end))
+    return out
 
 
 _MIDDLE = (1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])).astype(np.float32)
@@ -202,59 +225,63 @@ _MIDDLE = (1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])).astype(
 def decode(p: N.Params, texts: list[str]) -> list[list[Span]]:
     """Model spans of each whole text."""
     out: list[list[Span]] = [[] for _ in texts]
-    jobs: list[tuple[int, int, np.ndarray]] = []  # text, place, merged scores
-    waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
-    n_waiting = 0
+    waiting: list[tuple[int, Segment]] = []
+    jobs: list[tuple[int, Segment, np.ndarray]] = []  # text, segment, merged scores
+    n_waiting = n_scored = 0
 
     def score() -> None:
-        nonlocal n_waiting
-        if not waiting:
-            return
-        x = np.concatenate([np.stack([_window(c, int(s)) for s in starts]) for _, c, starts in waiting])
-        e = np.concatenate([N.emissions(p, x[a:a + BATCH]) for a in range(0, len(x), BATCH)])
-        at = 0
-        for i, codes, starts in waiting:
-            for a, b, first, end in _stretches(starts, len(codes)):
-                total = np.zeros((end - first + WINDOW, N_LABELS), np.float32)
-                weight = np.zeros(end - first + WINDOW, np.float32)
-                for w in range(a, b):
-                    o = int(starts[w]) - first
-                    total[o:o + WINDOW] += e[at + w] * _MIDDLE[:, None]
+        nonlocal n_waiting, n_scored
+        if waiting:
+            parts = [(N.encode(texts[i][first:end]), starts - first) for i, (starts, first, end, _, _) in waiting]
+            x = np.stack([_window(codes, int(o)) for codes, at in parts for o in at])
+            e = np.concatenate([N.emissions(p, x[a:a + BATCH]) for a in range(0, len(x), BATCH)])
+            k = 0
+            for (i, seg), (codes, at) in zip(waiting, parts, strict=True):
+                total = np.zeros((len(codes) + WINDOW, N_LABELS), np.float32)
+                weight = np.zeros(len(codes) + WINDOW, np.float32)
+                for o in at.tolist():
+                    total[o:o + WINDOW] += e[k] * _MIDDLE[:, None]
                     weight[o:o + WINDOW] += _MIDDLE
-                jobs.append((i, first, total[: end - first] / weight[: end - first, None]))
-            at += len(starts)
+                    k += 1
+                jobs.append((i, seg, total[:len(codes)] / weight[:len(codes), None]))
+                n_scored += len(codes)
         waiting.clear()
         n_waiting = 0
 
+    def settle() -> None:
+        nonlocal n_scored
+        jobs.sort(key=lambda j: len(j[2]))
+        at = 0
+        while at < len(jobs):
+            end = at
+            while end < len(jobs) and (end == at or (end - at + 1) * len(jobs[end][2]) <= DECODED):
+                end += 1
+            group = jobs[at:end]
+            e = np.zeros((len(group), len(group[-1][2]), N_LABELS), np.float32)
+            e[:, :, 0] = 20.0  # behind its end a stretch is outside
+            for r, (_, _, s) in enumerate(group):
+                e[r, :len(s)] = s
+            path = N.viterbi(e, p["move"])
+            hit = np.flatnonzero(path.any(1))
+            prob = N.posteriors(e[hit], p["move"]) if len(hit) else None
+            for k, r in enumerate(hit):
+                i, (_, first, _, own, own_end), s = group[r]
+                out[i] += [f for f in _read(path[r, :len(s)], prob[k], first, texts[i]) if own <= f[0] < own_end]
+            at = end
+        jobs.clear()
+        n_scored = 0
+
     for i, text in enumerate(texts):
-        starts = window_starts(text)
-        if len(starts):
-            waiting.append((i, N.encode(text), starts))
-            n_waiting += len(starts)
+        for seg in _segments(window_starts(text), len(text)):
+            waiting.append((i, seg))
+            n_waiting += len(seg[0])
             if n_waiting >= BATCH:
                 score()
+                if n_scored >= 4 * DECODED:
+                    settle()
     score()
-    jobs.sort(key=lambda j: len(j[2]))
-    move = p["move"]
-    at = 0
-    while at < len(jobs):
-        end, size = at, 0
-        while end < len(jobs) and (end == at or (end - at + 1) * len(jobs[end][2]) <= 1 << 15):
-            end += 1
-        group = jobs[at:end]
-        length = max(len(j[2]) for j in group)
-        e = np.zeros((len(group), length, N_LABELS), np.float32)
-        e[:, :, 0] = 20.0  # behind its end a stretch is outside
-        for r, (_, _, s) in enumerate(group):
-            e[r, :len(s)] = s
-        path, prob = N.viterbi(e, move), N.marginals(e, move)[3]
-        hit = np.flatnonzero(path.any(1))
-        for r in hit:
-            i, first, s = group[r]
-            out[i] += _read(path[r, :len(s)], prob[r], first, texts[i])
-        at = end
-        del size
-    return out
+    settle()
+    return [sorted(spans) for spans in out]
 
 
 def _read(path: np.ndarray, prob: np.ndarray, first: int, text: str) -> list[Span]:
@@ -279,8 +306,13 @@ def spans(p: N.Params, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     out = []
     for text, model in zip(texts, decode(p, texts), strict=True):
         base = base_spans(text)
-        more = [s for s in model if not any(b[0] < s[2] and s[0] < b[2] for b in base)] if model else []
-        out.append((base, more))
+        starts, reach = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
+
+        def free(s: Span) -> bool:
+            before = bisect_left(starts, s[2])  # base spans that start before its end
+            return not before or reach[before - 1] <= s[0]
+
+        out.append((base, [s for s in model if free(s)]))
     return out
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -443,6 +445,22 @@ def test_crf_gradients():
         assert abs((up - down) / (2 * d) - g[k][at]) < 1e-6
 
 
+def test_crf_posteriors_and_paths_equal_enumeration():
+    rng = np.random.default_rng(6)
+    e, move = rng.normal(0, 2, (4, 5, 3)), rng.normal(0, 1, (3, 3))
+    post, path, old = lstm_crf.posteriors(e, move), lstm_crf.viterbi(e, move), lstm_crf.marginals(e, move)[3]
+    for r in range(4):
+        scores = {y: sum(e[r, t, y[t]] for t in range(5)) + sum(move[y[t - 1], y[t]] for t in range(1, 5))
+                  for y in itertools.product(range(3), repeat=5)}
+        z = sum(np.exp(x) for x in scores.values())
+        assert tuple(path[r]) == max(scores, key=scores.get)
+        for t, k in itertools.product(range(5), range(3)):
+            assert abs(post[r, t, k] - sum(np.exp(x) for y, x in scores.items() if y[t] == k) / z) < 1e-9
+    assert np.allclose(post, old)
+    long = lstm_crf.posteriors(np.full((1, 30_000, 3), 30, np.float32), move.astype(np.float32))
+    assert np.isfinite(long).all() and np.allclose(long.sum(2), 1, atol=1e-3)
+
+
 BASE = [re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
         re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")]
 
@@ -489,6 +507,48 @@ def test_pii_model_finds_base_spans_by_itself(spark):
     assert added <= 0.05 * n
 
 
+def test_pii_windows_equal_a_plain_search():
+    rng = random.Random(5)
+    for n in [0, 1, 15, 16, 31, 32, 33, 47, 48, 49, 64, *(rng.randrange(400) for _ in range(200))]:
+        t = "".join(rng.choice("ab \u00e9\U0001f642" + "7@" * (rng.random() < 0.02)) for _ in range(n))
+        want = [s for s in range(0, n, pii.STEP) if re.search("[0-9@]", t[s:s + pii.WINDOW])]
+        assert pii.window_starts(t).tolist() == want
+
+
+@pytest.fixture(scope="module")
+def pii_model(spark):
+    return pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_pii_adds_spans_of_its_own(pii_model):
+    texts = [f"please call ({200 + i}) 555-{1000 + 37 * i} now" for i in range(60)] + ["nothing to see in 2 or 3 words"] * 20
+    found = pii.spans(pii_model, texts)
+    assert all(not base for base, _ in found)
+    assert sum((12, 3, 26) in more for _, more in found[:60]) >= 30
+    assert not any(more for _, more in found[60:])
+
+
+def test_pii_of_long_texts_in_segments(pii_model, monkeypatch):
+    rng = random.Random(7)
+    phone = lambda: f"+{rng.randrange(10, 99)} ({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+    word = lambda: rng.choice(["word", "3 of", "in 2024", "no. 7", "text", "12%"])
+    text = " ".join(phone() if k % 9 == 0 else word() for k in range(4000))
+    parts = pii._segments(pii.window_starts(text), len(text))
+    assert len(parts) > 5 and max(e - f for _, f, e, _, _ in parts) <= (pii.OWN + 2 * pii.BESIDE) * pii.STEP + pii.WINDOW
+    assert [p[3] for p in parts[1:]] == [p[4] for p in parts[:-1]]
+    pieces = pii.decode(pii_model, [text])[0]
+    monkeypatch.setattr(pii, "OWN", 1 << 30)
+    whole = pii.decode(pii_model, [text])[0]
+    assert len(whole) > 300 and len(set(pieces) ^ set(whole)) <= 0.005 * len(whole)
+    monkeypatch.undo()
+    digits = "".join(rng.choice("0123456789") for _ in range(300_000))
+    tracemalloc.start()
+    pii.decode(pii_model, [digits])
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert top < 200 << 20
+
+
 def test_lattice_points():
     rng = np.random.default_rng(1)
     x = rng.normal(0, 2, (500, 8))
