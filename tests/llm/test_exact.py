@@ -228,6 +228,59 @@ def test_licenses_of_a_notice_in_a_third_of_the_rows(spark, n):
     assert [got[i]["labels"] for i in (1000, 1001, 1002)] == ["lgpl", "agpl-3", ""]
 
 
+def plain_labels(text, rarest):
+    """Labels of the method, template by template and offset by offset."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    out = {label for phrase, label in licenses.BASE if f" {phrase} " in f" {' '.join(w)} "}
+    for t, (label, template, phrases) in enumerate(licenses.TEMPLATES):
+        own = template.split()
+        short = len(own) <= licenses.SHORT
+        for off in range(-len(own), len(w)):
+            at = [p for p in range(len(own)) if 0 <= off + p < len(w) and w[off + p] == own[p]]
+            if (len(at) >= (licenses.MOST_OF_SHORT if short else licenses.MOST_OF_LONG) * len(own)
+                    and sum(own[p] in rarest[t] for p in at) >= max(2, licenses.AGREE * len(rarest[t]))
+                    and licenses._KEYS[t] <= set(at) and not (off > 0 and w[off - 1] in licenses.NEGATIONS)
+                    and (short or all(f" {x} " in f" {' '.join(w)} " for x in phrases))):
+                out.add(label)
+    return ",".join(sorted(out))
+
+
+def test_licenses_equal_a_plain_search_by_offset(spark):
+    rng = random.Random(11)
+    pieces = [t.split() for _, t, _ in licenses.TEMPLATES]
+
+    def text():
+        out = []
+        for _ in range(rng.randrange(1, 5)):
+            own = list(rng.choice(pieces))
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                k = rng.randrange(len(own))
+                own[k:k + 1] = rng.choice([[], ["other"], [own[k], "more"], [rng.choice(licenses.VOCABULARY)]])
+            out += [rng.choice(["not", "word", "the", "under", "never", "file"]) for _ in range(rng.randrange(3))] + own
+        return " ".join(out)
+
+    rows = [(i, text()) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rarest = licenses.signatures(*licenses.document_counts(df))
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()}
+    assert [(i, got[i]) for i, _ in rows] == [(i, plain_labels(t, rarest)) for i, t in rows]
+
+
+def test_licenses_need_the_notice_not_its_phrase(spark):
+    real = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including")
+    cases = [("we compared the mit license with others", ""), ("there are not all rights reserved here", ""),
+             ("all rights reserved", "proprietary"), ("the gnu general public license has a version 3 and a version 2", ""),
+             ("this code is never licensed under cc by sa 4 0 terms", ""), ("Licensed under CC-BY-SA 4.0.", "cc-by-sa"),
+             ("the public domain and unencumbered software", ""), (real, "mit"), (real.replace("free of charge", "at a price"), ""),
+             (" ".join(reversed(notice("bsd").split())) + " redistribution and use in source and binary forms", ""),
+             ("This work is licensed under the GNU General Public License, version 2; Python version 3", "gpl-2"), (notice("bsd"), "bsd")]
+    rows = [(i, t) for i, (t, _) in enumerate(cases)] + [(100 + i, f"prose of {i} and the rest") for i in range(50)]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(cases)] == cases
+    assert all(got[100 + i] == "" for i in range(50))
+
+
 def test_secrets(spark, docs, texts):
     rng = random.Random(1)
     alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
