@@ -2,8 +2,8 @@
 
 Every top-k carries a full tie-break so results are deterministic; the
 window totals run over the aggregated (small) result only. Joins are
-fact ⋈ bridge on study_id (both large; without a shuffle over tables written
-by ``load.write_bucketed``) or fact ⋈ organizations, by the planner's choice."""
+fact ⋈ bridge on study_id (both large, so a merge whatever their files' bytes;
+without a shuffle over tables written by ``load.write_bucketed``) or fact ⋈ organizations, by the planner's choice."""
 
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ def q2_top_conditions(conditions: DataFrame, studies: DataFrame, k: int = 20) ->
     """A2: top conditions: distinct studies, distinct orgs, completion % over
     joined (bag) rows."""
     j = conditions.select("study_id", "condition_name").join(
-        studies.select("study_id", "org_id", "overall_status"), "study_id")
+        studies.select("study_id", "org_id", "overall_status").hint("merge"), "study_id")
     g = j.groupBy("condition_name").agg(
         F.countDistinct("study_id").alias("num_studies"),
         F.countDistinct("org_id").alias("num_organizations"),
@@ -38,11 +38,15 @@ def q2_top_conditions(conditions: DataFrame, studies: DataFrame, k: int = 20) ->
 
 
 def q3_interventions(interventions: DataFrame, studies: DataFrame,
-                     min_studies: int = 50, k: int = 20) -> DataFrame:
+                     min_studies: int = 50, k: int = 20, tasks: int | None = None) -> DataFrame:
     """A3: interventions with at least ``min_studies`` studies; completion %
-    over the distinct-study count (can exceed 100 on repeated tokens)."""
-    j = interventions.select("study_id", "intervention_name").join(
-        studies.select("study_id", "overall_status"), "study_id")
+    over the distinct-study count (can exceed 100 on repeated tokens). ``tasks``:
+    how many to join and count in, where the planner's choice by bytes is too few
+    (``keys.tasks_for``)."""
+    rows, status = interventions.select("study_id", "intervention_name"), studies.select("study_id", "overall_status")
+    if tasks:
+        rows, status = rows.repartition(tasks, "study_id"), status.repartition(tasks, "study_id")
+    j = rows.join(status.hint("merge"), "study_id")
     g = j.groupBy("intervention_name").agg(
         F.countDistinct("study_id").alias("num_studies"),
         _status("COMPLETED").alias("completed"),
@@ -113,7 +117,7 @@ LATE_PHASES = ["PHASE3", "PHASE2, PHASE3"]
 def b3_late_phase(conditions: DataFrame, studies: DataFrame, k: int = 15) -> DataFrame:
     """Top conditions among late-phase studies (the phase filter runs on
     the fact before the join)."""
-    late = studies.filter(F.col("phase").isin(LATE_PHASES)).select("study_id")
+    late = studies.filter(F.col("phase").isin(LATE_PHASES)).select("study_id").hint("merge")
     g = conditions.select("study_id", "condition_name").join(late, "study_id") \
         .groupBy("condition_name").agg(F.countDistinct("study_id").alias("num_phase3_studies"))
     return g.orderBy(F.desc("num_phase3_studies"), "condition_name").limit(k)
