@@ -8,8 +8,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from studylake.functions import text as T
 from studylake.operators import keys as K
 from studylake.operators import load as L
+from studylake.operators import normalize as N
 from studylake.operators import quality as Q
 from studylake.plans import analytics as A
 from studylake.plans import reg_load, reg_sources
@@ -110,3 +112,24 @@ def test_buckets_follow_the_rows(spark, monkeypatch):
     monkeypatch.setattr(reg_load.L, "write_bucketed", lambda tables, root, buckets, name: used.append(buckets) or write(tables, root, buckets, name))
     assert reg_load.bucketed_join(spark, "/root/testdata/sf0.001").count() > 0
     assert used == [15]
+
+
+def test_tokens_are_made_once(spark):
+    """A count of bridge rows splits each study's text once; empty and null texts give no row."""
+    path = f"{staging_path(spark, 'scale')}/multi"
+    spark.createDataFrame([(1, "a, b"), (2, None), (3, ""), (4, " , ,"), (5, " c\u2003,c")], "study_id long, v string").write.parquet(path)
+    rows = K.child_key(spark.read.parquet(path), "study_id", N.tokens("v", ","), "token")
+    assert plan(rows.groupBy().count()).count("split(") == 1
+    assert [tuple(r) for r in rows.select("id", "study_id", "pos", "token").orderBy("id").collect()] == [
+        (1, 1, 0, "a"), (2, 1, 1, "b"), (3, 5, 0, "c"), (4, 5, 1, "c")]
+
+
+def test_cells_are_stripped_at_their_ends_alone(spark):
+    """As the pattern and Python's strip do, for every character and for broken UTF-8, without the pattern."""
+    chars = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    cells = spark.createDataFrame([(f"{c} a{c}b {c}{c}",) for c in chars] + [("",), (None,), ("  ",)], "v string")
+    cells = cells.unionByName(spark.sql("SELECT CAST(x AS STRING) AS v FROM VALUES (X'20E2'), (X'E220'), (X'61802080') AS t(x)"))
+    stripped = cells.select("v", T.strip_ws("v").alias("out"), F.regexp_replace("v", T.WS_EDGES, "").alias("pattern"))
+    assert stripped.filter("NOT out <=> pattern").count() == 0
+    assert all(r["out"] == r["v"].strip() for r in stripped.collect() if r["v"] and "\ufffd" not in r["v"])
+    assert "regexp_replace" not in plan(cells.select(T.strip_ws("v")))
